@@ -176,7 +176,7 @@ _MF_WIDE = ", ".join(
 
 
 def _neighbours(spark, sf_dir):
-    spec = ops.spectra(_clips(spark, sf_dir).repartition("clip_id"), FRAMING)
+    spec = ops.spectra(ops.by_clip(_clips(spark, sf_dir)), FRAMING)
     return ops.add_neighbours(ops.add_mel(spec, FRAMING, SR, BANDS), BANDS)
 
 
@@ -199,7 +199,7 @@ def tempo(spark, sf_dir):
     f"WITH {_SPEC}, {_HPSS} SELECT vec_id AS clip_id, {_pair('harmony', 'harmony')}, {_pair('perceptr', 'perceptr')} FROM hp GROUP BY 1",
 )
 def hpss_energy(spark, sf_dir):
-    parts = ops.add_parts(ops.spectra(_clips(spark, sf_dir).repartition("clip_id"), FRAMING), WIDTH)
+    parts = ops.add_parts(ops.spectra(ops.by_clip(_clips(spark, sf_dir)), FRAMING), WIDTH)
     out = parts.groupBy("clip_id").agg(*ops.mean_var(F.col("harmony"), "harmony"), *ops.mean_var(F.col("perceptr"), "perceptr"))
     return out.select("clip_id", *_rounded("harmony_mean", "harmony_var", "perceptr_mean", "perceptr_var"))
 

@@ -178,13 +178,12 @@ def cosine_matrix(bands: int, count: int = 20) -> np.ndarray:
 
 def running_median(x: np.ndarray, width: int) -> np.ndarray:
     """Median along the first axis over ``width`` rows, fewer at the ends."""
-    half = width // 2
-    pad = np.full((half, *x.shape[1:]), np.nan)
-    padded = np.concatenate([pad, x, pad])
+    half, n = width // 2, len(x)
     out = np.empty_like(x)
-    step = 64  # rows per block: bounds the windowed copy
-    for i in range(0, len(x), step):
-        rows = min(step, len(x) - i)
-        view = np.lib.stride_tricks.sliding_window_view(padded[i : i + rows + 2 * half], 2 * half + 1, axis=0)
-        out[i : i + rows] = np.nanmedian(view, axis=-1)
+    for i in range(0, n - 2 * half, 64):  # blocks bound the windowed copy
+        rows = x[i : i + 64 + 2 * half]
+        view = np.lib.stride_tricks.sliding_window_view(rows, 2 * half + 1, axis=0)
+        out[i + half : i + half + len(view)] = np.median(view, axis=-1)
+    for i in {*range(min(half, n)), *range(max(n - half, 0), n)}:
+        out[i] = np.median(x[max(i - half, 0) : i + half + 1], axis=0)
     return out

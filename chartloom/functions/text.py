@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -46,9 +47,14 @@ def track_key(name: Column, artist: Column) -> Column:
     return F.lower(F.concat(side(name), F.lit(BLANK_KEY), side(artist)))
 
 
+def either(first: Column, second: Column) -> Column:
+    """``first`` unless it is NULL or empty."""
+    return F.coalesce(F.nullif(first, F.lit("")), second)
+
+
 def joinable_key(key: Column) -> Column:
-    """The key as used in joins: the blank key and '' match nothing."""
-    return F.when(~key.isin("", BLANK_KEY), key)
+    """The key as used in joins: the blank key matches nothing."""
+    return F.nullif(key, F.lit(BLANK_KEY))
 
 
 def clean_lyrics(c: Column) -> Column:
@@ -154,7 +160,8 @@ def strip_quotes(c: Column) -> Column:
 
 def has_award_word(c: Column, words=AWARD_WORDS) -> Column:
     """Substring test, so 'won' also hits 'wonder'."""
-    return F.lower(c).rlike("|".join(words))
+    text = F.lower(c)
+    return reduce(lambda x, y: x | y, [text.contains(w) for w in words])
 
 
 def strict_query(name: Column, artist: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.operators.keyed import first_wins, last_wins
-from chartloom.operators.ordering import add_position, by_reference_order
+from chartloom.operators.ordering import by_reference_order, first_rows
 
 
 def only_new(new: DataFrame, published: DataFrame, key: str) -> DataFrame:
@@ -48,8 +48,7 @@ def replace_matching(rows: DataFrame, new: DataFrame, keys: list[str]) -> DataFr
 def append_new(published: DataFrame, new: DataFrame, key: str, order: str, room: int) -> DataFrame:
     """Published rows plus the first ``room`` new keys in order."""
     fresh = first_wins(only_new(new, published, key), key, order)
-    kept = add_position(fresh, order, into="__pos").filter(F.col("__pos") <= max(room, 0)).drop("__pos")
-    return published.unionByName(kept, allowMissingColumns=True)
+    return published.unionByName(first_rows(fresh, order, room), allowMissingColumns=True)
 
 
 def union_ranked(*layouts: DataFrame) -> DataFrame:

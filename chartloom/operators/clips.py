@@ -27,6 +27,14 @@ def mean_var(c: Column, name: str) -> list[Column]:
     return [F.avg(c).alias(f"{name}_mean"), F.var_pop(c).alias(f"{name}_var")]
 
 
+def by_clip(clips: DataFrame) -> DataFrame:
+    """Hash-partition by clip.  The number is given, so that AQE does not merge
+    small-looking partitions ahead of the heavy work on them."""
+    spark = clips.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return clips.repartition(n, "clip_id")
+
+
 def array_mean_var(clips: DataFrame, key: str, samples: str) -> DataFrame:
     return clips.select(key, F.explode(samples).alias("__x")).groupBy(key).agg(*mean_var(F.col("__x").cast("double"), samples))
 
@@ -176,7 +184,7 @@ def feature_rows(
 
     One exchange in all: by clip id, on the raw samples.
     """
-    rows = clips.filter(F.col("sr") == sr).repartition("clip_id")
+    rows = by_clip(clips.filter(F.col("sr") == sr))
     if duration is not None:
         rows = rows.withColumn("samples", signal.cut(F.col("samples"), F.col("sr"), duration))
     spec = spectral_shape(spectra(rows, framing), framing)

@@ -34,7 +34,7 @@ def left_lookup(base: DataFrame, side: DataFrame, key: Column, side_key: str, sp
 
 
 def has_key(key: Column) -> Column:
-    return key.isNotNull() & (key.cast("string") != "")
+    return key.cast("string") != ""
 
 
 def attach_struct(

@@ -28,8 +28,10 @@ def cascade_match(base: DataFrame, catalogue: DataFrame, row: str) -> DataFrame:
     strict = first_wins(catalogue.select(strict_key.alias("sk"), "pos", F.struct("id", "popularity").alias("strict_hit")), "sk", "pos")
     wide = first_wins(catalogue.select(loose_key.alias("wk"), "pos", F.struct("id", "popularity").alias("loose_hit")), "wk", "pos")
     tried = left_lookup(base, strict.drop("pos"), track_key(F.col("name"), F.col("artist")), "sk", [row])
-    wide_probe = F.when(F.col("strict_hit").isNull(), loose(F.col("name"), F.col("artist")))
-    both = left_lookup(tried, wide.drop("pos"), wide_probe, "wk", [row])
+    # Only rows without a strict hit carry text into the costlier key.
+    left_over = [F.when(F.col("strict_hit").isNull(), F.col(c)) for c in ("name", "artist")]
+    tried = tried.withColumn("__wide", loose(*left_over))
+    both = left_lookup(tried, wide.drop("pos"), F.col("__wide"), "wk", [row]).drop("__wide")
     hit = F.coalesce("strict_hit", "loose_hit")
     return (
         both.withColumn("spotify_track_id", hit["id"])
@@ -65,19 +67,12 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
     release_date_components, pageviews;  details: id, lyrics, pageviews,
     release_date.
 
-    Similarity is computed once per distinct pair of artist texts.  The picks
-    are one aggregate per query, so a query with very many hits merges map-side.
+    The picks are one aggregate per query, so a query with very many hits merges
+    map-side.
     """
     asked = queries.select("query_ord", clean_search(F.col("artist")).alias("__mine"), F.col("year").alias("__year"))
     songs = hits.filter(F.col("type") == "song").join(asked, "query_ord").withColumn("__theirs", clean_search(F.col("artist_names")))
-    pairs = songs.select("__mine", "__theirs").distinct()
-    pairs = pairs.select(
-        F.col("__mine").alias("__m"),
-        F.col("__theirs").alias("__t"),
-        token_set_ratio(F.col("__mine"), F.col("__theirs")).alias("artist_score"),
-    )
-    scored = songs.join(pairs, (songs["__mine"] == pairs["__m"]) & (songs["__theirs"] == pairs["__t"]))
-    scored = scored.withColumn("year_score", year_score(F.col("release_date_components.year"), F.col("__year")))
+    scored = songs.withColumn("artist_score", token_set_ratio(F.col("__mine"), F.col("__theirs"))).withColumn("year_score", year_score(F.col("release_date_components.year"), F.col("__year")))
     pick = F.struct("id", "artist_score")
     views = F.coalesce(F.col("pageviews"), F.lit(0))
     picks = scored.groupBy("query_ord").agg(

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1_000_000
+TOP_K_ROWS = 100_000
 
 
 def block_of(order: Column, size: int = BLOCK_ROWS) -> Column:
@@ -53,7 +54,13 @@ def add_position(
 
 
 def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
-    """The ``n`` lowest rows; stays distributed for any ``n``."""
+    """The ``n`` lowest rows.
+
+    A small ``n`` is a top-k; a large one is cut by position, so that it stays
+    distributed.
+    """
+    if n <= TOP_K_ROWS:
+        return df.orderBy(order).limit(max(n, 0))
     return add_position(df, order, into="__pos").filter(F.col("__pos") <= n).drop("__pos")
 
 

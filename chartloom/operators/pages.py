@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from chartloom.functions import html
 from chartloom.functions.text import AWARD_WORDS, absolute_url, all_digits, has_award_word, strip, title_suffix
 from chartloom.operators.keyed import first_wins
+from chartloom.session import spread
 
 
 def _mapper(columns: list[str], rows_of):
@@ -31,7 +32,7 @@ def _mapper(columns: list[str], rows_of):
 def _extract(pages: DataFrame, fields: str, rows_of) -> DataFrame:
     columns = [part.split()[0] for part in fields.split(",")]
     kinds = dict(pages.dtypes)
-    source = pages.select("page_id", "url", "html")
+    source = spread(pages.select("page_id", "url", "html"), "page_id")
     schema = f"page_id {kinds['page_id']}, url string, {fields}"
     return source.mapInPandas(_mapper(columns, rows_of), schema)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.functions.text import first_nonempty, joinable_key, track_key, watch_url
+from chartloom.functions.text import either, first_nonempty, joinable_key, track_key, watch_url
 from chartloom.functions.values import comment_limit, drop_empty, nan_to_null, or_empty
 from chartloom.operators.keyed import last_wins
 from chartloom.operators.lookups import (
@@ -35,12 +35,12 @@ def link_side(links: DataFrame) -> DataFrame:
 
 
 def comment_rows(comments: DataFrame) -> DataFrame:
-    key = first_nonempty(F.col("track_key"), track_key(F.col("track_name"), F.col("artist")))
+    key = either(F.col("track_key"), track_key(F.col("track_name"), F.col("artist")))
     return comments.withColumn("track_key", joinable_key(key))
 
 
 def award_side(awards: DataFrame) -> DataFrame:
-    key = first_nonempty(F.col("track_key"), track_key(F.col("track_name"), F.col("artist")))
+    key = either(F.col("track_key"), track_key(F.col("track_name"), F.col("artist")))
     rows = awards.select(joinable_key(key).alias("track_key"), or_empty(drop_empty(F.col("awards"))).alias("awards"), "ord")
     return last_wins(rows.filter(F.col("track_key").isNotNull()), "track_key", "ord").drop("ord")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators count on.  Skewed join partitions are
 # split by AQE even where that costs one more exchange: several lookups in a
@@ -57,6 +57,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give Python-heavy work a task per core.
+
+    Only a scan with fewer splits than the cluster has cores is redistributed;
+    one with more is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
