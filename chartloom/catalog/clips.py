@@ -160,7 +160,7 @@ def spectral_rolloff(spark, sf_dir):
 
 @query("chroma", f"WITH {_SPEC}, {_CHROMA} SELECT vec_id AS clip_id, {_pair('v', 'chroma_stft')} FROM ch GROUP BY 1")
 def chroma(spark, sf_dir):
-    rows = ops.add_chroma(ops.spectra(_clips(spark, sf_dir), FRAMING), FRAMING, SR)
+    rows = ops.chroma_moments(ops.add_chroma(ops.spectra(_clips(spark, sf_dir), FRAMING), FRAMING, SR))
     out = rows.groupBy("clip_id").agg(*ops.chroma_mean_var())
     return out.select("clip_id", *_rounded("chroma_stft_mean", "chroma_stft_var"))
 
@@ -176,14 +176,14 @@ _MF_WIDE = ", ".join(
 
 
 def _neighbours(spark, sf_dir):
-    spec = ops.spectra(ops.by_clip(_clips(spark, sf_dir)), FRAMING)
-    return ops.add_neighbours(ops.add_mel(spec, FRAMING, SR, BANDS), BANDS)
+    spec = ops.add_mel(ops.spectra(_clips(spark, sf_dir), FRAMING), FRAMING, SR, BANDS).drop("mag")
+    return ops.add_neighbours(ops.by_clip(spec), BANDS)
 
 
 @query("mfcc", f"WITH {_SPEC}, {_MEL}, {_MFCC} SELECT vec_id AS clip_id, {_MF_WIDE} FROM mf GROUP BY 1")
 def mfcc(spark, sf_dir):
     aggs = [a for i in range(N_MFCC) for a in ops.mean_var(F.get("mfcc", F.lit(i)), f"mfcc{i + 1}")]
-    return _neighbours(spark, sf_dir).groupBy("clip_id").agg(*aggs).select("clip_id", *_rounded(*_coefficients()))
+    return ops.add_mfcc(_neighbours(spark, sf_dir), BANDS).groupBy("clip_id").agg(*aggs).select("clip_id", *_rounded(*_coefficients()))
 
 
 @query("tempo", f"WITH {_SPEC}, {_MEL}, {_TEMPO} SELECT vec_id AS clip_id, {_r('tempo', 'tempo')} FROM tp")
@@ -199,7 +199,7 @@ def tempo(spark, sf_dir):
     f"WITH {_SPEC}, {_HPSS} SELECT vec_id AS clip_id, {_pair('harmony', 'harmony')}, {_pair('perceptr', 'perceptr')} FROM hp GROUP BY 1",
 )
 def hpss_energy(spark, sf_dir):
-    parts = ops.add_parts(ops.spectra(ops.by_clip(_clips(spark, sf_dir)), FRAMING), WIDTH)
+    parts = ops.add_parts(ops.by_clip(ops.spectra(_clips(spark, sf_dir), FRAMING)), WIDTH)
     out = parts.groupBy("clip_id").agg(*ops.mean_var(F.col("harmony"), "harmony"), *ops.mean_var(F.col("perceptr"), "perceptr"))
     return out.select("clip_id", *_rounded("harmony_mean", "harmony_var", "perceptr_mean", "perceptr_var"))
 

@@ -1,10 +1,10 @@
 """Clip features: frame tables and their per-clip summaries.
 
 A clip is one row of samples.  It is spread over rows of frames; everything per
-frame is column work, and the summaries are aggregates that combine map-side.
-Where frames need their neighbours (moving medians, onsets) the clip rows are
-hash-partitioned by clip id while they still hold raw samples, their smallest
-form, and every later step by clip keeps that partitioning.
+frame is column work without an exchange, and the summaries are aggregates that
+combine map-side.  Where frames need their neighbours (onsets, the clip's peak,
+moving medians) the frame rows are hash-partitioned by clip once; the window and
+the grouped step that follow share that exchange.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from chartloom.functions import signal
 from chartloom.functions.signal import Framing
 from chartloom.schemas import FEATURE_HEADER, N_MFCC
+from chartloom.session import spread
 
 MAX_TEMPO, START_TEMPO = 320.0, 120.0
 
@@ -27,12 +28,12 @@ def mean_var(c: Column, name: str) -> list[Column]:
     return [F.avg(c).alias(f"{name}_mean"), F.var_pop(c).alias(f"{name}_var")]
 
 
-def by_clip(clips: DataFrame) -> DataFrame:
+def by_clip(frames: DataFrame) -> DataFrame:
     """Hash-partition by clip.  The number is given, so that AQE does not merge
     small-looking partitions ahead of the heavy work on them."""
-    spark = clips.sparkSession
+    spark = frames.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return clips.repartition(n, "clip_id")
+    return frames.repartition(n, "clip_id")
 
 
 def array_mean_var(clips: DataFrame, key: str, samples: str) -> DataFrame:
@@ -88,24 +89,30 @@ def add_mel(spec: DataFrame, framing: Framing, sr: int, bands: int) -> DataFrame
 
 
 def add_neighbours(mel: DataFrame, bands: int, top_db: float = 80.0) -> DataFrame:
-    """Cepstral coefficients and onset strength.
-
-    Bands are cut at ``top_db`` under the clip's peak; an onset is the mean
-    rise over the bands from one frame to the next.
-    """
+    """Band levels cut at ``top_db`` under the clip's peak, and onset strength:
+    the mean rise over the bands from one frame to the next."""
     clip = W.partitionBy("clip_id")
     along = clip.orderBy("frame")
-    floor = F.max(F.array_max("mel_db")).over(clip) - top_db
-    cut = mel.withColumn("__floor", floor).withColumn("__cut", F.transform("mel_db", lambda v: F.greatest(v, F.col("__floor"))))
-    before = cut.withColumn("__prev", F.lag("__cut").over(along))
-    rise = F.zip_with("__cut", "__prev", lambda a, b: F.greatest(a - b, F.lit(0.0)))
+    # The ordered window first: its sort also serves the one over the whole clip.
+    placed = mel.withColumn("__prev", F.lag("mel_db").over(along)).withColumn(
+        "__floor", F.max(F.array_max("mel_db")).over(clip) - top_db
+    )
+
+    def cut(c):
+        return F.transform(c, lambda v: F.greatest(v, F.col("__floor")))
+
+    rise = F.zip_with(cut("mel_db"), cut("__prev"), lambda a, b: F.greatest(a - b, F.lit(0.0)))
     return (
-        before.withColumn("onset", F.coalesce(signal.total(rise) / bands, F.lit(0.0)))
-        .withColumn("mfcc", signal.project(F.col("__cut"), signal.cosine_matrix(bands, N_MFCC)))
-        .drop("__floor", "__cut", "__prev", "mel_db")
+        placed.withColumn("onset", F.coalesce(signal.total(rise) / bands, F.lit(0.0)))
+        .withColumn("mel_db", cut("mel_db"))
+        .drop("__floor", "__prev")
     )
 
 
+def add_mfcc(cut_mel: DataFrame, bands: int) -> DataFrame:
+    return cut_mel.withColumn("mfcc", signal.project(F.col("mel_db"), signal.cosine_matrix(bands, N_MFCC))).drop("mel_db")
+
+
 def add_parts(spec: DataFrame, width: int = 31) -> DataFrame:
     """Energy of the harmonic and the percussive part of each frame.
 
@@ -163,12 +170,17 @@ def summarise(frames: DataFrame, hop: int) -> DataFrame:
     return rows.withColumn("__env", onsets).withColumn("tempo", tempo_of(F.col("__env"), F.col("__sr"), hop)).drop("__env", "__onsets", "__sr")
 
 
+def chroma_moments(frames: DataFrame) -> DataFrame:
+    """The chroma array of a frame reduced to its mean and its mean square."""
+    n = F.size("chroma")
+    square = F.aggregate("chroma", F.lit(0.0), lambda acc, v: acc + v * v)
+    return frames.withColumns({"chroma_m1": signal.total(F.col("chroma")) / n, "chroma_m2": square / n}).drop("chroma")
+
+
 def chroma_mean_var() -> list[Column]:
     """Over all frames and classes at once; every frame has the same number of classes."""
-    classes = F.size("chroma")
-    mean = F.avg(signal.total(F.col("chroma")) / classes)
-    square = F.avg(F.aggregate("chroma", F.lit(0.0), lambda acc, v: acc + v * v) / classes)
-    return [mean.alias("chroma_stft_mean"), (square - mean * mean).alias("chroma_stft_var")]
+    mean = F.avg("chroma_m1")
+    return [mean.alias("chroma_stft_mean"), (F.avg("chroma_m2") - mean * mean).alias("chroma_stft_var")]
 
 
 def feature_rows(
@@ -182,13 +194,14 @@ def feature_rows(
 ) -> DataFrame:
     """Wide feature row per clip (clip_id, sr, samples), in the fixed header order.
 
-    One exchange in all: by clip id, on the raw samples.
+    Two exchanges: the frames by clip, then one partial summary per clip.
     """
-    rows = by_clip(clips.filter(F.col("sr") == sr))
+    rows = spread(clips.filter(F.col("sr") == sr), "clip_id")
     if duration is not None:
         rows = rows.withColumn("samples", signal.cut(F.col("samples"), F.col("sr"), duration))
     spec = spectral_shape(spectra(rows, framing), framing)
-    full = add_neighbours(add_mel(add_chroma(spec, framing, sr), framing, sr, bands), bands)
-    out = summarise(add_parts(full, width), framing.hop)
+    levels = add_mel(chroma_moments(add_chroma(spec, framing, sr)), framing, sr, bands)
+    full = add_mfcc(add_parts(add_neighbours(by_clip(levels), bands), width), bands)
+    out = summarise(full, framing.hop)
     out = out.withColumn("filename", F.col("clip_id").cast("string")).withColumn("label", F.lit(label))
     return out.select(*FEATURE_HEADER)
