@@ -123,8 +123,7 @@ SELECT s.ord, l.youtube_id, l.youtube_url, coalesce(l.has_candidates, false) AS
 FROM songs s LEFT JOIN links l ON s.track_key = l.track_key""",
 )
 def link_join(spark, sf_dir):
-    base = songs(spark, sf_dir).withColumn("__probe", _key())
-    out = lookups.attach_links(base, job.link_side(link_rows(spark, sf_dir)), ["ord"])
+    out = lookups.attach_links(songs(spark, sf_dir), job.link_side(link_rows(spark, sf_dir)), _key(), ["ord"])
     has = F.coalesce(F.size("youtube_candidates") > 0, F.lit(False)).alias("has_candidates")
     return out.select("ord", "youtube_id", "youtube_url", has)
 

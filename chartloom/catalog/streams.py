@@ -33,8 +33,8 @@ def stream_enrich(spark, sf_dir):
     out = lookups.attach_struct(
         songs, audio_rows(spark, sf_dir), "spotify_track_id", ["ord"], F.col("audio_metadata"), "audio_metadata", ["ord"]
     )
-    out = lookups.attach_links(out.withColumn("__probe", joinable_key(track_key(F.col("name"), F.col("artist")))), links, ["ord"])
-    flows.append_to(out.drop("__probe"), root)
+    out = lookups.attach_links(out, links, joinable_key(track_key(F.col("name"), F.col("artist"))), ["ord"])
+    flows.append_to(out, root)
     return flows.read_appended(spark, root).select(
         "ord", "audio_metadata.length", "audio_metadata.rms_mean", "youtube_id", "youtube_url"
     )

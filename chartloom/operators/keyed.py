@@ -65,14 +65,8 @@ def first_with_rows(candidates: DataFrame, keys, index: str, count: Column, trie
 def complete_prefix(df: DataFrame, order: str, complete: Column) -> DataFrame:
     """Rows ahead of the first incomplete one.
 
-    One number (the first gap) is computed by a plain aggregate and joined as a
-    single-row side, instead of a running sum through one task.
+    One number (the first gap) comes from a plain aggregate as a scalar subquery,
+    instead of a running sum through one task.
     """
-    gap = df.agg(F.min(F.when(~F.coalesce(complete, F.lit(False)), F.col(order))).alias("__gap"))
-    gate = gap.select(F.lit(1).alias("__one"), "__gap")
-    return (
-        df.withColumn("__one", F.lit(1))
-        .join(F.broadcast(gate), "__one")  # exactly one row
-        .filter(F.col("__gap").isNull() | (F.col(order) < F.col("__gap")))
-        .drop("__one", "__gap")
-    )
+    gap = df.agg(F.min(F.when(~F.coalesce(complete, F.lit(False)), F.col(order))).alias("gap"))
+    return df.filter(F.coalesce(F.col(order) < gap.scalar(), F.lit(True)))

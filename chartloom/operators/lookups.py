@@ -26,10 +26,22 @@ def probe_key(key: Column, *spread: Column) -> Column:
     return F.coalesce(F.nullif(key.cast("string"), F.lit("")), F.concat(F.lit("\x00"), salt))
 
 
-def left_lookup(base: DataFrame, side: DataFrame, key: Column, side_key: str, spread: list[str]) -> DataFrame:
-    """Left join of a one-row-per-key side; drops the side's key."""
-    right = side.withColumnRenamed(side_key, "__rk").withColumn("__rk", F.col("__rk").cast("string"))
-    left = base.withColumn("__lk", probe_key(key, *[F.col(c) for c in spread]))
+def with_probe(base: DataFrame, key: Column, into: str, spread: list[str]) -> DataFrame:
+    """Add a probe column.  Lookups that name the same one share its exchange."""
+    return base.withColumn(into, probe_key(key, *[F.col(c) for c in spread]))
+
+
+def left_lookup(base: DataFrame, side: DataFrame, key: Column | str, side_key: str, spread: list[str]) -> DataFrame:
+    """Left join of a one-row-per-key side; drops the side's key.
+
+    ``key`` is an expression, or the name of a column made by ``with_probe``.
+    """
+    right = side.withColumnRenamed(side_key, "__rk")
+    if dict(right.dtypes)["__rk"] != "string":
+        right = right.withColumn("__rk", F.col("__rk").cast("string"))
+    if isinstance(key, str):
+        return base.join(right, F.col(key) == F.col("__rk"), "left").drop("__rk")
+    left = with_probe(base, key, "__lk", spread)
     return left.join(right, F.col("__lk") == F.col("__rk"), "left").drop("__lk", "__rk")
 
 
@@ -38,7 +50,7 @@ def has_key(key: Column) -> Column:
 
 
 def attach_struct(
-    base: DataFrame, records: DataFrame, key: str, order, value: Column, into: str, spread: list[str]
+    base: DataFrame, records: DataFrame, key: str, order, value: Column, into: str, spread: list[str], probe: str | None = None
 ) -> DataFrame:
     """Attach ``value`` of the last record with the row's key.
 
@@ -51,7 +63,7 @@ def attach_struct(
         "__side",
         [f"__o{i}" for i in range(len(order))],
     ).select("__side", "__value")
-    joined = left_lookup(base, side, F.col(key), "__side", spread)
+    joined = left_lookup(base, side, probe or F.col(key), "__side", spread)
     new = F.coalesce("__value", into) if into in base.columns else F.col("__value")
     return joined.withColumn(into, new).drop("__value")
 
@@ -61,7 +73,7 @@ def other_columns(df: DataFrame, base_columns) -> Column:
     return F.struct(*[F.col(c) for c in df.columns if c not in set(base_columns)])
 
 
-def attach_lists(base: DataFrame, side: DataFrame, key: Column, side_key: str, value: str, spread: list[str]) -> DataFrame:
+def attach_lists(base: DataFrame, side: DataFrame, key: Column | str, side_key: str, value: str, spread: list[str]) -> DataFrame:
     """Left join to a list per key, empty when there is none."""
     joined = left_lookup(base, side, key, side_key, spread)
     return joined.withColumn(value, or_empty(F.col(value), side.schema[value].dataType.simpleString()))
@@ -71,7 +83,7 @@ def list_by_two_keys(
     base: DataFrame,
     entries: DataFrame,
     keys: tuple[str, str],
-    base_keys: tuple[Column, Column],
+    base_keys: tuple[Column | str, Column | str],
     order: list,
     n: int,
     entry: list[Column],
@@ -81,17 +93,19 @@ def list_by_two_keys(
     """Entries listed under two keys; the first key is probed first.
 
     An id with no entries falls through to the second key, then to an empty
-    list.  Each side is cut to ``n`` rows per key before it is collected.
+    list.  Each side is cut to ``n`` rows per key before it is collected.  The
+    second key is joined first, as it is the one earlier lookups share.
     """
     out = base
-    for i, (key, probe) in enumerate(zip(keys, base_keys)):
+    for i in (1, 0):
+        key, probe = keys[i], base_keys[i]
         side = collect_top(entries.filter(has_key(F.col(key))), key, order, n, entry, f"__list{i}")
         out = left_lookup(out, side, probe, key, spread)
-    kind = side.schema["__list1"].dataType.simpleString()
+    kind = side.schema["__list0"].dataType.simpleString()
     return out.withColumn(into, F.coalesce("__list0", "__list1", F.array().cast(kind))).drop("__list0", "__list1")
 
 
-def attach_links(base: DataFrame, links: DataFrame, spread: list[str]) -> DataFrame:
+def attach_links(base: DataFrame, links: DataFrame, key: Column | str, spread: list[str]) -> DataFrame:
     """The row's own id and url win, a non-empty candidate list overrides."""
     joined = left_lookup(
         base,
@@ -101,7 +115,7 @@ def attach_links(base: DataFrame, links: DataFrame, spread: list[str]) -> DataFr
             F.col("youtube_url").alias("__url"),
             F.col("youtube_candidates").alias("__cand"),
         ),
-        F.col("__probe"),
+        key,
         "__side",
         spread,
     )

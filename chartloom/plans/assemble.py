@@ -14,6 +14,7 @@ from chartloom.operators.lookups import (
     attach_struct,
     list_by_two_keys,
     other_columns,
+    with_probe,
 )
 from chartloom.schemas import FEATURE_BASE_COLUMNS, with_columns
 
@@ -62,29 +63,32 @@ def enrich(
     """
     spread = ["ord"]
     base = with_columns(base, {"youtube_id": "string", "youtube_url": "string"})
-    out = attach_struct(base, audio, "spotify_track_id", ["ord"], F.col("audio_metadata"), "audio_metadata", spread)
+    out = with_probe(base, F.col("spotify_track_id"), "__by_id", spread)
+    audio_value = F.col("audio_metadata")
+    out = attach_struct(out, audio, "spotify_track_id", ["ord"], audio_value, "audio_metadata", spread, "__by_id")
     dynamic = other_columns(features, (*FEATURE_BASE_COLUMNS, "ord"))
-    out = attach_struct(out, features, "spotify_track_id", ["ord"], dynamic, "spotify_audio_features", spread)
-    out = out.withColumn("__probe", joinable_key(track_key(F.col("name"), F.col("artist"))))
-    out = attach_links(out, link_side(links), spread)
-    out = attach_lists(out.drop("awards"), award_side(awards), F.col("__probe"), "track_key", "awards", spread)
+    out = attach_struct(out, features, "spotify_track_id", ["ord"], dynamic, "spotify_audio_features", spread, "__by_id")
+    key = joinable_key(track_key(F.col("name"), F.col("artist")))
+    out = with_probe(out.drop("__by_id"), key, "__by_key", spread)
+    out = attach_links(out, link_side(links), "__by_key", spread)
+    out = attach_lists(out.drop("awards"), award_side(awards), "__by_key", "track_key", "awards", spread)
     entry = [F.col(c) for c in ("comment_id", "author", "text", "like_count", "published_at")]
     entry.append(F.col("position").cast("int").alias("position"))
     n = comment_limit(limit)
     if n == 0:
-        return out.withColumn("youtube_comments", F.array().cast(_EMPTY_COMMENTS)).drop("__probe")
+        return out.withColumn("youtube_comments", F.array().cast(_EMPTY_COMMENTS)).drop("__by_key")
     out = list_by_two_keys(
         out,
         comment_rows(comments),
         ("youtube_id", "track_key"),
-        (F.col("youtube_id"), F.col("__probe")),
+        (F.col("youtube_id"), "__by_key"),
         [F.coalesce(F.col("position"), F.lit(0)), F.col("ord")],
         n,
         entry,
         "youtube_comments",
         spread,
     )
-    return out.drop("__probe")
+    return out.drop("__by_key")
 
 
 def canonical(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

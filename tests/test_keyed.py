@@ -115,12 +115,13 @@ def test_link_lookup(spark):
     base = spark.createDataFrame(
         [(0, "A", "x", None, None), (1, "A ", "X", "own", ""), (2, "", None, None, None)],
         "ord bigint, name string, artist string, youtube_id string, youtube_url string",
-    ).withColumn("__probe", assemble.joinable_key(track_key(F.col("name"), F.col("artist"))))
+    )
+    key = assemble.joinable_key(track_key(F.col("name"), F.col("artist")))
     shape = "youtube_id string, youtube_url string, youtube_candidates array<struct<youtube_id:string,youtube_url:string>>, name string, artist string, ord bigint"
     links = spark.createDataFrame(
         [("v1", "", [("v1", "u")], "a", "x", 1), ("v2", None, [], "a", "x", 2), ("blank", None, [], " ", "", 3)], shape
     )
-    out = lookups.attach_links(base, assemble.link_side(links), ["ord"]).orderBy("ord").collect()
+    out = lookups.attach_links(base, assemble.link_side(links), key, ["ord"]).orderBy("ord").collect()
     assert [(r.youtube_id, r.youtube_url) for r in out] == [
         ("v2", "https://www.youtube.com/watch?v=v2"),
         ("own", "https://www.youtube.com/watch?v=v2"),
