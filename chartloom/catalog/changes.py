@@ -22,7 +22,8 @@ def _new(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parts = _old(spark, sf_dir)
     joined = orders.join(parts, orders["o_custkey"] == parts["ord"])
-    return joined.select(F.col("o_orderkey").alias("ord"), "track_key", F.lit("new").alias("version"), "spotify_track_id")
+    rows = joined.select(F.col("o_orderkey").alias("ord"), "track_key", "spotify_track_id")
+    return changes.with_defaults(rows, {"version": F.lit("new")})
 
 
 _NEW = f"""{SONGS}, fresh AS (

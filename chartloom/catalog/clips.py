@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chartloom.catalog import query
-from chartloom.catalog.standins import table
+from chartloom.catalog.standins import table, widen
 from chartloom.functions import signal
 from chartloom.functions.signal import Framing
 from chartloom.operators import clips as ops
@@ -17,7 +17,7 @@ BINS = FRAMING.bins
 
 
 def _clips(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").select(
+    return widen(table(spark, sf_dir, "embeddings"), "vec_id").select(
         F.col("vec_id").alias("clip_id"), F.lit(SR).alias("sr"), F.col("embedding").alias("samples")
     )
 
@@ -160,7 +160,7 @@ def spectral_rolloff(spark, sf_dir):
 
 @query("chroma", f"WITH {_SPEC}, {_CHROMA} SELECT vec_id AS clip_id, {_pair('v', 'chroma_stft')} FROM ch GROUP BY 1")
 def chroma(spark, sf_dir):
-    rows = ops.chroma_moments(ops.add_chroma(ops.spectra(_clips(spark, sf_dir), FRAMING), FRAMING, SR))
+    rows = ops.chroma_moments(ops.add_chroma(ops.spectra(_clips(spark, sf_dir), FRAMING), FRAMING))
     out = rows.groupBy("clip_id").agg(*ops.chroma_mean_var())
     return out.select("clip_id", *_rounded("chroma_stft_mean", "chroma_stft_var"))
 
@@ -176,7 +176,7 @@ _MF_WIDE = ", ".join(
 
 
 def _neighbours(spark, sf_dir):
-    spec = ops.add_mel(ops.spectra(_clips(spark, sf_dir), FRAMING), FRAMING, SR, BANDS).drop("mag")
+    spec = ops.add_mel(ops.spectra(_clips(spark, sf_dir), FRAMING), FRAMING, BANDS).drop("mag")
     return ops.add_neighbours(ops.by_clip(spec), BANDS)
 
 
@@ -222,6 +222,6 @@ SELECT CAST(vec_id AS VARCHAR) AS filename, 64::BIGINT AS length, {_PAIR_NAMES},
 FROM tp {_JOINED} JOIN (SELECT vec_id, {_MF_WIDE} FROM mf GROUP BY 1) USING (vec_id)""",
 )
 def feature_row(spark, sf_dir):
-    out = ops.feature_rows(_clips(spark, sf_dir), SR, FRAMING, BANDS, WIDTH)
+    out = ops.feature_rows(_clips(spark, sf_dir), FRAMING, BANDS, WIDTH)
     return out.select("filename", "length", *_rounded(*[f"{n}_{s}" for n in CLIP_PAIRS for s in ("mean", "var")]),
                       *_rounded("tempo"), *_rounded(*_coefficients()), "label")

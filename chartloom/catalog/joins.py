@@ -87,6 +87,15 @@ def assemble_dataset(spark, sf_dir):
     )
 
 
+def with_audio(spark, sf_dir):
+    """Records with only their audio struct attached: enough for the missing-field reports."""
+    out = lookups.attach_struct(
+        songs(spark, sf_dir), audio_rows(spark, sf_dir), "spotify_track_id", ["ord"],
+        F.col("audio_metadata"), "audio_metadata", ["ord"],
+    )
+    return job.canonical(out, keep=("ord",))
+
+
 @query(
     "left_join_struct",
     f"""WITH {SONGS}, {AUDIO}

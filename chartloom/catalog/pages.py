@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chartloom.catalog import query
-from chartloom.catalog.standins import table
+from chartloom.catalog.standins import table, widen
 from chartloom.functions import payloads as json_of
 from chartloom.operators import comments, pages
 
@@ -24,10 +24,14 @@ _BLOCKS = f"""blocks AS (
       SELECT page_id, string_split(html, '<p>')[2:] AS items FROM pages)))"""
 
 
+def _captured(spark, sf_dir):
+    return widen(table(spark, sf_dir, "pages"), "page_id")
+
+
 def _wiki_pages(spark, sf_dir):
     """The pages with their body as the content box and articles unwrapped."""
     boxed = F.replace(F.replace("html", F.lit("<body>"), F.lit('<div class="mw-parser-output">')), F.lit("<article>"), F.lit(""))
-    return table(spark, sf_dir, "pages").select("page_id", "url", boxed.alias("html"))
+    return _captured(spark, sf_dir).select("page_id", "url", boxed.alias("html"))
 
 
 @query("html_blocks", f"WITH {_BLOCKS} SELECT page_id, layout, block_no, text FROM blocks WHERE text <> ''")
@@ -53,7 +57,7 @@ def dedup_blocks(spark, sf_dir):
       regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1) AS labels FROM pages))""",
 )
 def page_links(spark, sf_dir):
-    return pages.page_links(table(spark, sf_dir, "pages"), everywhere=True)
+    return pages.page_links(_captured(spark, sf_dir), everywhere=True)
 
 
 @query(
@@ -74,7 +78,7 @@ def html_tables(spark, sf_dir):
         cell,
         F.format_string("</td><td>%s &amp; <i>%s</i></td></tr><tr><td>1</td><td>short</td></tr></tbody></table>", "p_brand", "p_type"),
     )
-    made = table(spark, sf_dir, "part").select(
+    made = widen(table(spark, sf_dir, "part"), "p_partkey").select(
         F.col("p_partkey").alias("page_id"), F.lit("https://en.example.org/wiki/Singles").alias("url"), source.alias("html")
     )
     return pages.chart_rows(made)

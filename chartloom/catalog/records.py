@@ -6,13 +6,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from chartloom.catalog import query
-from chartloom.catalog.joins import assembled
+from chartloom.catalog.joins import with_audio
 from chartloom.catalog.standins import SONGS, songs, table
 from chartloom.functions import text, values
 from chartloom.operators import ordering, sourcing
 from chartloom.plans import assemble as job
 from chartloom.plans import incremental
-from chartloom.schemas import AUDIO_FIELDS, audio_struct, ordered_values
+from chartloom.schemas import AUDIO_FIELDS, audio_struct, clean_nans, ordered_values
 from chartloom.session import new_workspace
 from chartloom.sources import tables, yaml_text
 
@@ -44,7 +44,7 @@ def first_nonempty(spark, sf_dir):
 def native_values(spark, sf_dir):
     dirty = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
     rows = table(spark, sf_dir, "events").select("event_id", dirty.alias("value"), values.iso_text(F.col("ts")).alias("ts"))
-    return job.clean_nans(rows)
+    return clean_nans(rows)
 
 
 @query("clamp", "SELECT p_partkey, CAST(least(greatest(p_size - 10, 0), 15) AS INTEGER) AS comment_limit FROM part")
@@ -152,7 +152,7 @@ _MISSING = f"""{SONGS}, gaps AS (
 
 @query("missing_fields", f"WITH {_MISSING} SELECT ord, missing FROM gaps")
 def missing_fields(spark, sf_dir):
-    rows = assembled(spark, sf_dir)
+    rows = with_audio(spark, sf_dir)
     return rows.select("ord", F.array_join(incremental.missing_fields(), ", ").alias("missing"))
 
 
@@ -161,7 +161,7 @@ def missing_fields(spark, sf_dir):
     f"WITH {_MISSING} SELECT ord, name || ' - ' || artist || ': missing ' || missing AS line FROM gaps WHERE missing <> ''",
 )
 def incomplete_report(spark, sf_dir):
-    return incremental.incomplete_report(assembled(spark, sf_dir))
+    return incremental.incomplete_report(with_audio(spark, sf_dir))
 
 
 @query(

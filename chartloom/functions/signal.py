@@ -7,6 +7,7 @@ batches.  Filter matrices depend on parameters alone, never on the data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -81,16 +82,17 @@ def magnitudes(frame: Column) -> Column:
     return run(frame)
 
 
-def project(vector: Column, matrix: np.ndarray) -> Column:
-    """Product of a fixed matrix with each vector."""
+def project(vector: Column, matrix_of: Callable[[int], np.ndarray], rate: Column) -> Column:
+    """Product of each vector with the matrix that belongs to its sample rate."""
 
     @F.pandas_udf(_VECTOR)
-    def run(batch: pd.Series) -> pd.Series:
-        if not len(batch):
-            return pd.Series([], dtype=object)
-        return pd.Series(list(np.stack(batch.to_numpy()) @ matrix.T))
+    def run(batch: pd.Series, rates: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(batch), dtype=object)
+        for sr, at in rates.groupby(rates).groups.items():
+            out.loc[at] = pd.Series(list(np.stack(batch.loc[at].to_numpy()) @ matrix_of(int(sr)).T), index=at, dtype=object)
+        return out
 
-    return run(vector)
+    return run(vector, rate)
 
 
 def frequencies(framing: Framing, sr: Column) -> Column:

@@ -17,6 +17,11 @@ def only_known(rows: DataFrame, published: DataFrame, key: str) -> DataFrame:
     return rows.join(published.select(key), key, "left_semi")
 
 
+def with_defaults(rows: DataFrame, defaults: dict[str, Column]) -> DataFrame:
+    """Fill the fields a new row left unset; columns it lacks are added."""
+    return rows.withColumns({c: F.coalesce(F.col(c), d) if c in rows.columns else d for c, d in defaults.items()})
+
+
 def upsert(existing: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key; a new row beats an old one, a later row an earlier one."""
     both = existing.withColumn("__gen", F.lit(0)).unionByName(new.withColumn("__gen", F.lit(1)), allowMissingColumns=True)
@@ -46,8 +51,11 @@ def replace_matching(rows: DataFrame, new: DataFrame, keys: list[str]) -> DataFr
 
 
 def append_new(published: DataFrame, new: DataFrame, key: str, order: str, room: int) -> DataFrame:
-    """Published rows plus the first ``room`` new keys in order."""
-    fresh = first_wins(only_new(new, published, key), key, order)
+    """Published rows plus the first ``room`` new keys in order.
+
+    Copies of a key merge before the anti join, so a hot key reaches it as one row.
+    """
+    fresh = only_new(first_wins(new, key, order), published, key)
     return published.unionByName(first_rows(fresh, order, room), allowMissingColumns=True)
 
 
@@ -60,6 +68,11 @@ def union_ranked(*layouts: DataFrame) -> DataFrame:
 
 
 def dedup_with_id(df: DataFrame, group: list[str], ident: str, order: list[str]) -> DataFrame:
-    """First row per id within a group; rows without an id are all kept."""
-    keyed = first_wins(df.filter(F.col(ident).isNotNull() & (F.col(ident) != "")), [*group, ident], order)
-    return keyed.unionByName(df.filter(F.col(ident).isNull() | (F.col(ident) == "")))
+    """First row per id within a group; rows without an id are all kept.
+
+    A row without an id is its own group, told apart by ``order``, so one
+    aggregate serves both kinds.
+    """
+    known = F.col(ident) != ""
+    own = F.when(F.coalesce(~known, F.lit(True)), F.struct(*order))
+    return first_wins(df.withColumn("__own", own), [*group, ident, "__own"], order).drop("__own")

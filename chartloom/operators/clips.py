@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from chartloom.functions import signal
 from chartloom.functions.signal import Framing
 from chartloom.schemas import FEATURE_HEADER, N_MFCC
-from chartloom.session import spread
 
 MAX_TEMPO, START_TEMPO = 320.0, 120.0
 
@@ -72,20 +71,21 @@ def spectral_shape(spec: DataFrame, framing: Framing, share: float = 0.85) -> Da
     )
 
 
-def add_chroma(spec: DataFrame, framing: Framing, sr: int) -> DataFrame:
+def add_chroma(spec: DataFrame, framing: Framing) -> DataFrame:
     """Pitch-class energies of each frame, the largest scaled to 1."""
     raw = spec.withColumn("__power", F.transform("mag", lambda m: m * m)).withColumn(
-        "__raw", signal.project(F.col("__power"), signal.chroma_matrix(sr, framing.size))
+        "__raw", signal.project(F.col("__power"), lambda sr: signal.chroma_matrix(sr, framing.size), F.col("sr"))
     )
     top = F.array_max("__raw")
     scaled = F.transform("__raw", lambda v: F.when(top > 0, v / top).otherwise(0.0))
     return raw.withColumn("chroma", scaled).drop("__power", "__raw")
 
 
-def add_mel(spec: DataFrame, framing: Framing, sr: int, bands: int) -> DataFrame:
+def add_mel(spec: DataFrame, framing: Framing, bands: int) -> DataFrame:
     """Mel band powers of each frame in dB."""
     power = F.transform("mag", lambda m: m * m)
-    return spec.withColumn("mel_db", signal.power_db(signal.project(power, signal.mel_matrix(sr, framing.size, bands))))
+    levels = signal.project(power, lambda sr: signal.mel_matrix(sr, framing.size, bands), F.col("sr"))
+    return spec.withColumn("mel_db", signal.power_db(levels))
 
 
 def add_neighbours(mel: DataFrame, bands: int, top_db: float = 80.0) -> DataFrame:
@@ -110,7 +110,8 @@ def add_neighbours(mel: DataFrame, bands: int, top_db: float = 80.0) -> DataFram
 
 
 def add_mfcc(cut_mel: DataFrame, bands: int) -> DataFrame:
-    return cut_mel.withColumn("mfcc", signal.project(F.col("mel_db"), signal.cosine_matrix(bands, N_MFCC))).drop("mel_db")
+    turned = signal.project(F.col("mel_db"), lambda sr: signal.cosine_matrix(bands, N_MFCC), F.col("sr"))
+    return cut_mel.withColumn("mfcc", turned).drop("mel_db")
 
 
 def add_parts(spec: DataFrame, width: int = 31) -> DataFrame:
@@ -136,8 +137,11 @@ def add_parts(spec: DataFrame, width: int = 31) -> DataFrame:
     return spec.groupBy("clip_id").applyInPandas(split, schema)
 
 
-def tempo_of(onsets: Column, sr: Column, hop: int, spread: float = 1.0) -> Column:
-    """Tempo of an onset array: autocorrelation weighted towards the start tempo."""
+def tempo_of(onsets: Column, sr: Column, hop: int, spread: float = 1.0, longest: float = 8.0) -> Column:
+    """Tempo of an onset array: autocorrelation weighted towards the start tempo.
+
+    ``longest`` is the longest period looked at, in seconds.
+    """
     n = F.size(onsets)
 
     def product(lag):
@@ -150,7 +154,7 @@ def tempo_of(onsets: Column, sr: Column, hop: int, spread: float = 1.0) -> Colum
         octaves = (F.log2(bpm) - F.log2(F.lit(START_TEMPO))) / spread
         return F.when(bpm < MAX_TEMPO, F.struct((F.log1p(match * 1e6) - 0.5 * octaves * octaves).alias("s"), (-lag).alias("l"), bpm.alias("bpm")))
 
-    lags = F.when(n >= 2, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
+    lags = F.when(n >= 2, F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(n - 1, F.floor(sr * longest / hop).cast("int"))))).otherwise(F.array().cast("array<int>"))
     best = F.array_max(F.transform(lags, scored))
     return F.coalesce(best["bpm"], F.lit(0.0))
 
@@ -185,7 +189,6 @@ def chroma_mean_var() -> list[Column]:
 
 def feature_rows(
     clips: DataFrame,
-    sr: int,
     framing: Framing = Framing(),
     bands: int = 128,
     width: int = 31,
@@ -196,11 +199,11 @@ def feature_rows(
 
     Two exchanges: the frames by clip, then one partial summary per clip.
     """
-    rows = spread(clips.filter(F.col("sr") == sr), "clip_id")
+    rows = clips
     if duration is not None:
         rows = rows.withColumn("samples", signal.cut(F.col("samples"), F.col("sr"), duration))
     spec = spectral_shape(spectra(rows, framing), framing)
-    levels = add_mel(chroma_moments(add_chroma(spec, framing, sr)), framing, sr, bands)
+    levels = add_mel(chroma_moments(add_chroma(spec, framing)), framing, bands)
     full = add_mfcc(add_parts(add_neighbours(by_clip(levels), bands), width), bands)
     out = summarise(full, framing.hop)
     out = out.withColumn("filename", F.col("clip_id").cast("string")).withColumn("label", F.lit(label))

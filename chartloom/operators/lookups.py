@@ -3,6 +3,12 @@
 Every lookup side is reduced to one row per key first, so a join never adds
 rows.  The sides carry no broadcast hint: Spark broadcasts one whose size it
 knows to be under the session threshold and shuffles it beyond that.
+
+A base key may hold a large share of the base rows.  AQE splits such a partition
+only where both join inputs come straight from an exchange, and a side that was
+just grouped by its key would be joined without one.  So the join runs on a
+derived probe text: the side is exchanged once more after it was reduced, and
+the base's hot partitions are split at run time.
 """
 
 from __future__ import annotations
@@ -23,7 +29,11 @@ def probe_key(key: Column, *spread: Column) -> Column:
     one of many values no lookup key can take.
     """
     salt = F.pmod(F.hash(*spread), F.lit(_SPREAD)).cast("string")
-    return F.coalesce(F.nullif(key.cast("string"), F.lit("")), F.concat(F.lit("\x00"), salt))
+    return F.coalesce(_probe(F.nullif(key.cast("string"), F.lit(""))), F.concat(F.lit("-"), salt))
+
+
+def _probe(key: Column) -> Column:
+    return F.concat(F.lit("="), key)
 
 
 def with_probe(base: DataFrame, key: Column, into: str, spread: list[str]) -> DataFrame:
@@ -36,9 +46,7 @@ def left_lookup(base: DataFrame, side: DataFrame, key: Column | str, side_key: s
 
     ``key`` is an expression, or the name of a column made by ``with_probe``.
     """
-    right = side.withColumnRenamed(side_key, "__rk")
-    if dict(right.dtypes)["__rk"] != "string":
-        right = right.withColumn("__rk", F.col("__rk").cast("string"))
+    right = side.withColumn("__rk", _probe(F.col(side_key).cast("string"))).drop(side_key)
     if isinstance(key, str):
         return base.join(right, F.col(key) == F.col("__rk"), "left").drop("__rk")
     left = with_probe(base, key, "__lk", spread)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from chartloom.operators.lookups import left_lookup
+
 BLOCK_ROWS = 1_000_000
 TOP_K_ROWS = 100_000
 
@@ -33,23 +35,25 @@ def add_position(
     ``block`` must not fall as ``order`` grows; by default it is a fixed width
     of the order column.  ``ties`` makes the order total.
     """
-    keys = keys or []
-    at = keys + ["__block"]
-    blocked = df.withColumn("__block", block_of(F.col(order)) if block is None else block)
-    before = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    at = df.withColumn(
+        "__at", F.struct(*(keys or []), (block_of(F.col(order)) if block is None else block).alias("__block"))
+    )
+    # One struct as the key: its NULL fields compare equal, and the join and the
+    # window below are served by the same exchange.
+    before = W.partitionBy(*[F.col("__at")[k] for k in keys or []]).orderBy(F.col("__at")["__block"])
     starts = (
-        blocked.groupBy(*at)
+        at.groupBy("__at")
         .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*at, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+        .select(
+            F.col("__at").alias("__of"),
+            F.coalesce(F.sum("__n").over(before.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__start"),
+        )
     )
-    if keys:
-        same = [blocked[c].eqNullSafe(starts[c]) for c in keys] + [blocked["__block"] == starts["__block"]]
-        joined = blocked.join(starts, same, "inner").select(blocked["*"], starts["__start"])
-    else:
-        joined = blocked.join(starts, "__block")
-    within = W.partitionBy(*at).orderBy(order, *(ties or []))
-    return joined.withColumn(into, (F.col("__start") + F.row_number().over(within)).cast("bigint")).drop(
-        "__block", "__start"
+    within = W.partitionBy("__at").orderBy(order, *(ties or []))
+    return (
+        at.join(starts, F.col("__at") == F.col("__of"))
+        .withColumn(into, (F.col("__start") + F.row_number().over(within)).cast("bigint"))
+        .drop("__at", "__of", "__start")
     )
 
 
@@ -88,8 +92,6 @@ def order_map(base: DataFrame, key: str, order: str) -> DataFrame:
 def by_reference_order(df: DataFrame, key: str, positions: DataFrame, unknown: Column, into: str = "base_ord") -> DataFrame:
     """Attach the base position; rows the base does not know get ``unknown``."""
     pos = positions.select(F.col(key).alias("__k"), F.col("base_ord").alias("__o"))
-    return (
-        df.join(pos, df[key] == pos["__k"], "left")
-        .withColumn(into, F.coalesce("__o", unknown))
-        .drop("__k", "__o")
-    )
+    spread = [c for c, kind in df.dtypes if not kind.startswith("map")]
+    placed = left_lookup(df, pos, F.col(key), "__k", spread)
+    return placed.withColumn(into, F.coalesce("__o", unknown)).drop("__o")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.text import either, first_nonempty, joinable_key, track_key, watch_url
-from chartloom.functions.values import comment_limit, drop_empty, nan_to_null, or_empty
+from chartloom.functions.values import comment_limit, drop_empty, or_empty
 from chartloom.operators.keyed import last_wins
 from chartloom.operators.lookups import (
     attach_links,
@@ -133,9 +133,3 @@ def canonical(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def assemble(base, audio, features, links, comments, awards, limit: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     return canonical(enrich(base, audio, features, links, comments, awards, limit), keep)
-
-
-def clean_nans(df: DataFrame) -> DataFrame:
-    """NaN -> NULL in every top-level float column; run after each read."""
-    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
-    return df.withColumns({c: nan_to_null(F.col(c)) for c in floats})

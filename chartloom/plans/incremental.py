@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from chartloom.functions.text import track_key
 from chartloom.functions.values import is_filled, missing_list
 from chartloom.operators.keyed import complete_prefix, first_wins
-from chartloom.operators.ordering import first_rows
+from chartloom.operators.ordering import filter_then_limit, first_rows
 from chartloom.schemas import AUDIO_FIELDS
+from chartloom.sources.tables import publish, read_published
 
 
 def field_flags(audio_fields: list[str] | None = None) -> dict[str, Column]:
@@ -39,6 +40,26 @@ def pending(base: DataFrame, done: DataFrame, key: str, force: bool = False) ->
     return base if force else base.join(done.select(key), key, "left_anti")
 
 
+def audio_queue(base: DataFrame, offset: int = 0, limit: int | None = None, force: bool = False) -> DataFrame:
+    """Rows whose clip is to be measured: offset, id set, limit, then not yet done."""
+    rows = filter_then_limit(base, "ord", F.col("spotify_track_id").isNotNull(), offset, limit)
+    return rows if force else rows.filter(~is_filled(F.col("audio_metadata"), AUDIO_FIELDS))
+
+
+def publish_next(records: DataFrame, root: str, more: int, strict: bool = False) -> DataFrame:
+    """One run: take the published table as state, publish ``more`` further records.
+
+    Returns the current table; nothing is written when the base is exhausted.
+    The count of the state is the one number that comes to the driver.
+    """
+    spark = records.sparkSession
+    current = read_published(spark, root, records.schema).count()
+    target = next_target(records, current, more, strict=strict)
+    if target.count() > current:
+        publish(target, root)
+    return read_published(spark, root, records.schema)
+
+
 def next_target(records: DataFrame, current: int, more: int, order: str = "ord", strict: bool = False) -> DataFrame:
     """First ``current + more`` distinct keys in base order.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chartloom.functions.values import nan_to_null
+
 # ---- fixed values -----------------------------------------------------------
 N_MFCC = 20
 CLIP_PAIRS = (
@@ -69,3 +71,8 @@ def audio_struct(source: dict[str, Column]) -> Column:
 def ordered_values(struct: Column, header: list[str]) -> Column:
     """Values as an array in header order."""
     return F.array(*[struct[f].cast("double") for f in header])
+
+def clean_nans(df: DataFrame) -> DataFrame:
+    """NaN -> NULL in every top-level float column; run after each read."""
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: nan_to_null(F.col(c)) for c in floats})

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chartloom.plans.assemble import clean_nans
+from chartloom.schemas import clean_nans
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -122,6 +122,12 @@ def stage(spark: SparkSession, root: str, build) -> DataFrame:
     return spark.read.parquet(f"{root}/v{version}")
 
 
+def with_row_count(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and a count of them that is there once they were written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def preview(df: DataFrame, order: str, n: int = 5) -> DataFrame:
     return df.orderBy(order).limit(n)
 

@@ -30,7 +30,7 @@ def rows(spark):
     beat[:: SR // 2] = 1.0
     data = frame(spark, silence=np.zeros(4000), impulse=impulse, sine=tone(1000), short=[0.5] * 10, empty=[], beat=beat)
     # The median is wider than the three bins a tone fills under the window.
-    out = clips.feature_rows(data, SR, SMALL, bands=40, width=15, duration=None).collect()
+    out = clips.feature_rows(data, SMALL, bands=40, width=15, duration=None).collect()
     return {r.filename: r for r in out}
 
 
@@ -66,7 +66,7 @@ def test_beat(rows):
 
 
 def test_pitch_class(spark):
-    spec = clips.add_chroma(clips.spectra(frame(spark, a=tone(440, 8000)), Framing(size=2048, hop=512)), Framing(2048, 512), SR)
+    spec = clips.add_chroma(clips.spectra(frame(spark, a=tone(440, 8000)), Framing(size=2048, hop=512)), Framing(2048, 512))
     middle = spec.filter("frame = 8").first()
     assert int(np.argmax(middle.chroma)) == 9 and max(middle.chroma) == pytest.approx(1.0)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from chartloom.operators import changes, keyed
+from chartloom.operators import changes, keyed, lookups
 from chartloom.catalog.joins import assembled
 
 SF = "/root/testdata/sf0.001"
@@ -64,3 +64,34 @@ def test_result_does_not_depend_on_partitions(spark, n):
     order = ["l_orderkey", "l_linenumber", "l_suppkey"]
     base = sorted(tuple(r) for r in keyed.last_wins(df, "l_partkey", order).collect())
     assert sorted(tuple(r) for r in keyed.last_wins(df.repartition(n, F.rand(3)), "l_partkey", order).collect()) == base
+
+
+def test_hot_base_key_is_split(spark):
+    """A third of the base on one key: AQE splits its partition in both of two
+    lookups on the same probe, and the result is whole."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "12",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string")))
+        base = spark.range(0, 60_000, 1, 8).select("id", key.alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        probed = lookups.with_probe(base, F.col("key"), "__probe", ["id"])
+        out = probed
+        for name in ("n", "m"):
+            side = base.groupBy("key").agg(F.count(F.lit(1)).alias(name)).withColumnRenamed("key", "k")
+            out = lookups.left_lookup(out, side, "__probe", "k", ["id"])
+        rows = out.collect()
+        assert len(rows) == 60_000 and {(r.n, r.m) for r in rows if r.key == "hot"} == {(20_000, 20_000)}
+        assert plan(out).split("Initial Plan")[0].count("skew=true") == 2, plan(out)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

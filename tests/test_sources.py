@@ -3,7 +3,6 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from chartloom.schemas import YEAR_LINKS, require, with_columns
 from chartloom.session import new_workspace, shared_folder
@@ -123,9 +122,17 @@ def test_schema_checks(spark):
 
 def test_counts_by_observation(spark):
     """Rows written, counted while they are written."""
-    from pyspark.sql import Observation
-
-    seen = Observation()
-    df = spark.range(10).observe(seen, F.count(F.lit(1)).alias("n"))
+    df, seen = tables.with_row_count(spark.range(10))
     tables.write_json(df, new_workspace(spark, "obs"))
-    assert seen.get["n"] == 10
+    assert seen.get["rows"] == 10
+
+
+def test_year_pages(spark):
+    from chartloom.sources.years import year_pages
+
+    rows = {r.year: r.url.rsplit("/", 1)[1] for r in year_pages(spark).collect()}
+    assert len(rows) == 79
+    assert rows["1948"] == "Billboard_year-end_top_singles_of_1948"
+    assert rows["1949"] == "Billboard_year-end_top_30_singles_of_1949"
+    assert rows["1958"] == "Billboard_year-end_top_50_singles_of_1958"
+    assert rows["2024"] == "Billboard_Year-End_Hot_100_singles_of_2024"

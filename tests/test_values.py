@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartloom.functions import values
-from chartloom.plans.assemble import clean_nans
+from chartloom.schemas import clean_nans
 
 
 @pytest.mark.parametrize(
