@@ -85,8 +85,8 @@ def first_nonempty_candidate(spark, sf_dir):
 
 @query(
     "complete_prefix",
-    "SELECT event_id, value FROM events WHERE event_id < (SELECT min(event_id) FROM events WHERE value > 100)",
+    "SELECT event_id, value FROM events WHERE event_id < (SELECT min(event_id) FROM events WHERE value > 200)",
 )
 def complete_prefix(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "value")
-    return keyed.complete_prefix(rows, "event_id", F.col("value") <= 100)
+    return keyed.complete_prefix(rows, "event_id", F.col("value") <= 200)
