@@ -94,5 +94,6 @@ def order_by_reference(spark, sf_dir):
     base = _old(spark, sf_dir)
     last = ordering.order_map(base.filter(F.col("spotify_track_id").isNotNull()), "track_key", "ord")
     rows = _new(spark, sf_dir).select("ord", "track_key")
-    placed = ordering.by_reference_order(rows, "track_key", last, F.lit(base.count() + 1))
+    behind_all = base.agg((F.count(F.lit(1)) + 1).alias("n")).scalar()
+    placed = ordering.by_reference_order(rows, "track_key", last, behind_all)
     return placed.orderBy("base_ord", "ord")

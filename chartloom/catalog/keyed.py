@@ -58,14 +58,13 @@ def top_n_per_key(spark, sf_dir):
 
 @query(
     "page_positions",
-    """SELECT event_id, event_type, CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS BIGINT) AS position
+    """SELECT event_id, event_type, CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS BIGINT) AS position
 FROM events""",
 )
 def page_positions(spark, sf_dir):
-    """Five types hold all events, so each is numbered day by day and the days are summed up."""
-    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    day = F.to_date("ts")
-    return ordering.add_position(rows, "ts", ["event_type"], into="position", block=day, ties=["event_id"]).drop("ts")
+    """Five types hold all events: each is numbered block by block, and the blocks are summed up."""
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return ordering.add_position(rows, "event_id", ["event_type"], into="position")
 
 
 @query(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chartloom.catalog import query
@@ -52,13 +51,13 @@ def cascade_match(spark, sf_dir):
 
 @query(
     "argmax_first",
-    """SELECT l_orderkey, l_quantity, pos FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, pos) AS rn
-  FROM (SELECT l_orderkey, l_quantity, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber AS pos FROM lineitem)) WHERE rn = 1""",
+    """SELECT l_orderkey, l_quantity, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+  ORDER BY l_quantity DESC, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem) WHERE rn = 1""",
 )
 def argmax_first(spark, sf_dir):
-    pos = F.col("l_partkey") * 1000000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")
+    pos = F.struct("l_linenumber", "l_partkey", "l_suppkey")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", pos.alias("pos"))
-    return keyed.argmax_first(rows, "l_orderkey", F.col("l_quantity"), "pos")
+    return keyed.argmax_first(rows, "l_orderkey", F.col("l_quantity"), "pos").select("l_orderkey", "l_quantity", "pos.*")
 
 
 def _asked(spark, sf_dir):
@@ -68,29 +67,28 @@ def _asked(spark, sf_dir):
 
 
 def _offered(spark, sf_dir):
-    """The lines of an order are its search results, numbered in line order."""
+    """The lines of an order are its search results, in line order."""
     lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     joined = lines.join(parts, lines["l_partkey"] == parts["p_partkey"])
-    return joined.withColumn("pos", F.row_number().over(order))
+    return joined.withColumn("pos", F.struct("l_linenumber", "l_partkey", "l_suppkey"))
 
 
 _OFFERED = """asked AS (SELECT o_orderkey AS query_ord, p_name AS name, p_brand AS artist, year(o_orderdate) AS year, o_orderstatus
   FROM orders JOIN part ON o_custkey = p_partkey),
-offered AS (SELECT l_orderkey AS query_ord, p_name, p_brand, p_type, p_partkey, year(l_shipdate) AS year, l_quantity, l_returnflag, l_linestatus,
+offered AS (SELECT l_orderkey AS query_ord, p_name, p_brand, p_type, p_partkey, year(l_shipdate) AS year, l_quantity, l_returnflag, l_linestatus, l_linenumber, l_partkey, l_suppkey,
   row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
 @query(
     "score_candidates",
-    f"""WITH {_OFFERED}, s AS (SELECT o.query_ord, o.pos, title, (CASE WHEN contains(lower(title), '(song') THEN 2.5 ELSE 0 END
+    f"""WITH {_OFFERED}, s AS (SELECT o.query_ord, o.pos, l_linenumber, l_partkey, l_suppkey, title, (CASE WHEN contains(lower(title), '(song') THEN 2.5 ELSE 0 END
   + CASE WHEN contains(nt, a.name) THEN 3.0 ELSE 0 END + CASE WHEN contains(nt, na) THEN 1.0 ELSE 0 END
   + CASE WHEN contains(ns, na) THEN 0.5 ELSE 0 END)::DOUBLE AS score
   FROM (SELECT *, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS nt, regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g') AS ns
     FROM (SELECT *, CASE l_returnflag WHEN 'R' THEN upper(p_name) || ' (song)' WHEN 'A' THEN p_name || ' by ' || p_brand ELSE p_name END AS title
       FROM offered)) o
   JOIN (SELECT *, regexp_replace(lower(artist), '[^a-z0-9]+', ' ', 'g') AS na FROM asked) a ON o.query_ord = a.query_ord)
-SELECT query_ord, pos, title, score, 'https://en.wikipedia.org/wiki/' || url_encode(replace(title, ' ', '_')) AS link FROM (
+SELECT query_ord, l_linenumber, l_partkey, l_suppkey, title, score, 'https://en.wikipedia.org/wiki/' || url_encode(replace(title, ' ', '_')) AS link FROM (
   SELECT *, row_number() OVER (PARTITION BY query_ord ORDER BY score DESC, pos) AS rn FROM s) WHERE rn = 1""",
 )
 def score_candidates(spark, sf_dir):
@@ -106,7 +104,7 @@ def score_candidates(spark, sf_dir):
     hits = _offered(spark, sf_dir).select(
         F.col("l_orderkey").alias("query_ord"), "pos", title.alias("title"), F.col("p_brand").alias("snippet")
     )
-    return matching.score_pages(queries, hits)
+    return matching.score_pages(queries, hits).select("query_ord", "pos.*", "title", "score", "link")
 
 
 @query(

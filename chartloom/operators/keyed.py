@@ -53,8 +53,11 @@ def collect_top(df: DataFrame, keys, order: list, n: int, entry: list[Column], i
 
 
 def argmax_first(df: DataFrame, keys, score: Column, position: str) -> DataFrame:
-    """Best-scored row per key, the earliest one on a tie."""
-    return last_wins(df, keys, [score, -F.col(position)])
+    """Best-scored row per key, the earliest one on a tie.
+
+    ``position`` may be any sortable column, a struct included.
+    """
+    return first_wins(df, keys, [score.isNull(), -score, F.col(position)])
 
 
 def first_with_rows(candidates: DataFrame, keys, index: str, count: Column, tries: int = 4) -> DataFrame:

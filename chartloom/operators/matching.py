@@ -65,7 +65,7 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
     queries: query_ord, name, artist, year;  strict: query_ord, lyrics,
     pageviews, release_date;  hits: query_ord, pos, type, id, artist_names,
     release_date_components, pageviews;  details: id, lyrics, pageviews,
-    release_date.
+    release_date.  ``pos`` is any sortable column.
 
     The picks are one aggregate per query, so a query with very many hits merges
     map-side.
@@ -76,8 +76,8 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
     pick = F.struct("id", "artist_score")
     views = F.coalesce(F.col("pageviews"), F.lit(0))
     picks = scored.groupBy("query_ord").agg(
-        F.max_by(pick, F.struct("artist_score", -F.col("pos"))).alias("by_artist"),
-        F.max_by("id", F.when(F.col("year_score") > 0, F.struct(views, -F.col("pos")))).alias("by_year"),
+        F.min_by(pick, F.struct(-F.col("artist_score"), "pos")).alias("by_artist"),
+        F.min_by("id", F.when(F.col("year_score") > 0, F.struct(-views, "pos"))).alias("by_year"),
     )
     near = F.col("by_artist.artist_score") > ARTIST_THRESHOLD
     chosen = picks.select(
@@ -86,14 +86,15 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
         F.when(near, "Artist-Fuzz").when(F.col("by_year").isNotNull(), "Heuristic").alias("method"),
         F.lit(True).alias("has_hits"),
     )
+    response = F.struct("lyrics", "pageviews", "release_date")
     found = left_lookup(
         chosen,
-        details.select(F.col("id").alias("__id"), F.struct("lyrics", "pageviews", "release_date").alias("d")),
+        details.groupBy(F.col("id").alias("__id")).agg(F.max(response).alias("d")),  # captured once or more
         F.col("match_id"),
         "__id",
         ["query_ord"],
     )
-    first = strict.select("query_ord", F.struct("lyrics", "pageviews", "release_date").alias("s"))
+    first = strict.groupBy("query_ord").agg(F.max(response).alias("s"))
     joined = queries.join(first, "query_ord", "left").join(found, "query_ord", "left")
     code = F.when(F.col("d").isNull(), "Error (Code)").when(F.col("d.lyrics").isNull(), "Lyrics Empty").otherwise("Success")
     status = (
