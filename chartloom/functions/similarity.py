@@ -32,21 +32,20 @@ def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _common_length(x, y) for x, y in zip(a, b)], dtype="Int32")
 
 
-def _words(c: Column) -> Column:
+def words(c: Column) -> Column:
     """Sorted distinct words: Latin-1 letters dropped, other signs to spaces."""
     plain = F.lower(F.regexp_replace(c, r"[\x80-\xFF]", ""))
     spaced = F.regexp_replace(plain, r"(?U)\W", " ")
     return F.array_sort(F.array_distinct(F.filter(F.split(spaced, " +"), lambda w: w != "")))
 
 
-def token_set_ratio(a: Column, b: Column) -> Column:
-    """Token-set similarity, 0 to 100.
+def word_set_ratio(wa: Column, wb: Column) -> Column:
+    """Similarity of two results of ``words``, 0 to 100.
 
     With ``s`` the length of the joined common words and ``x``, ``y`` those of
     the two remainders, the three pairings share the prefix of length ``s``, so
     only the remainders need an LCS.
     """
-    wa, wb = _words(a), _words(b)
     common = F.array_join(F.array_intersect(wa, wb), " ")
     rest_a = F.array_join(F.array_except(wa, wb), " ")
     rest_b = F.array_join(F.array_except(wb, wa), " ")
@@ -62,12 +61,17 @@ def token_set_ratio(a: Column, b: Column) -> Column:
         F.greatest(both, ratio(gap + x, s + whole_a), ratio(gap + y, s + whole_b))
     )
     return (
-        F.when((F.size(wa) == 0) | (F.size(wb) == 0) | a.isNull() | b.isNull(), 0)
+        F.when((F.coalesce(F.size(wa), F.lit(0)) <= 0) | (F.coalesce(F.size(wb), F.lit(0)) <= 0), 0)
         .when((s > 0) & ((x == 0) | (y == 0)), 100)
         .otherwise(F.bround(best, 0).cast("int"))
     )
 
 
+def token_set_ratio(a: Column, b: Column) -> Column:
+    """Token-set similarity of two texts."""
+    return word_set_ratio(words(a), words(b))
+
+
 def page_score(title_raw: Column, title: Column, snippet: Column, name: Column, artist: Column) -> Column:
     """Weighted hits; all but ``title_raw`` are normalised texts."""
 

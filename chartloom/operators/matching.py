@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.functions.similarity import ARTIST_THRESHOLD, page_score, token_set_ratio
+from chartloom.functions.similarity import ARTIST_THRESHOLD, page_score, word_set_ratio, words
 from chartloom.functions.text import clean_search, normalize_text, page_url, track_key
 from chartloom.functions.values import year_score
 from chartloom.operators.keyed import argmax_first, first_wins
@@ -20,17 +20,20 @@ def cascade_match(base: DataFrame, catalogue: DataFrame, row: str) -> DataFrame:
     never pair up with one another.
     """
 
-    def loose(name, artist):
-        words = normalize_text(F.concat_ws(" ", clean_search(name), clean_search(artist)))
-        return F.array_join(F.array_sort(F.array_distinct(F.split(words, " "))), " ")
+    def with_loose_key(rows, name, artist):
+        # The cleaned text is a column of its own: several expressions read it.
+        cleaned = rows.withColumn("__text", F.concat_ws(" ", clean_search(name), clean_search(artist)))
+        parts = F.split(normalize_text(F.col("__text")), " ")
+        return cleaned.withColumn("__wide", F.array_join(F.array_sort(F.array_distinct(parts)), " ")).drop("__text")
 
-    strict_key, loose_key = (f(F.col("title"), F.col("artist")) for f in (track_key, loose))
+    strict_key = track_key(F.col("title"), F.col("artist"))
     strict = first_wins(catalogue.select(strict_key.alias("sk"), "pos", F.struct("id", "popularity").alias("strict_hit")), "sk", "pos")
-    wide = first_wins(catalogue.select(loose_key.alias("wk"), "pos", F.struct("id", "popularity").alias("loose_hit")), "wk", "pos")
+    keyed = with_loose_key(catalogue, F.col("title"), F.col("artist"))
+    wide = first_wins(keyed.select(F.col("__wide").alias("wk"), "pos", F.struct("id", "popularity").alias("loose_hit")), "wk", "pos")
     tried = left_lookup(base, strict.drop("pos"), track_key(F.col("name"), F.col("artist")), "sk", [row])
     # Only rows without a strict hit carry text into the costlier key.
     left_over = [F.when(F.col("strict_hit").isNull(), F.col(c)) for c in ("name", "artist")]
-    tried = tried.withColumn("__wide", loose(*left_over))
+    tried = with_loose_key(tried, *left_over)
     both = left_lookup(tried, wide.drop("pos"), F.col("__wide"), "wk", [row]).drop("__wide")
     hit = F.coalesce("strict_hit", "loose_hit")
     return (
@@ -70,9 +73,12 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
     The picks are one aggregate per query, so a query with very many hits merges
     map-side.
     """
-    asked = queries.select("query_ord", clean_search(F.col("artist")).alias("__mine"), F.col("year").alias("__year"))
-    songs = hits.filter(F.col("type") == "song").join(asked, "query_ord").withColumn("__theirs", clean_search(F.col("artist_names")))
-    scored = songs.withColumn("artist_score", token_set_ratio(F.col("__mine"), F.col("__theirs"))).withColumn("year_score", year_score(F.col("release_date_components.year"), F.col("__year")))
+    asked = queries.select("query_ord", words(clean_search(F.col("artist"))).alias("__mine"), F.col("year").alias("__year"))
+    theirs = words(clean_search(F.col("artist_names"))).alias("__theirs")
+    songs = hits.filter(F.col("type") == "song").select(
+        "query_ord", "pos", "id", "pageviews", F.col("release_date_components.year").alias("__hit_year"), theirs
+    ).join(asked, "query_ord")
+    scored = songs.withColumn("artist_score", word_set_ratio(F.col("__mine"), F.col("__theirs"))).withColumn("year_score", year_score(F.col("__hit_year"), F.col("__year")))
     pick = F.struct("id", "artist_score")
     views = F.coalesce(F.col("pageviews"), F.lit(0))
     picks = scored.groupBy("query_ord").agg(
