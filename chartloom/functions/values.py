@@ -27,9 +27,8 @@ def nan_to_null(c: Column) -> Column:
 
 def iso_text(ts: Column) -> Column:
     """ISO text of a timestamp; the fraction appears only when there is one."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+    text = F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
+    return F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)
 
 
 def to_number(text: Column) -> Column:
