@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartloom.llm import byte_bpe
+from chartloom.llm import byte_bpe, rules
 from chartloom.llm.common import table
 from chartloom.llm.queries import query
 
@@ -19,3 +19,9 @@ def op9_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = byte_bpe.encode(docs, ranks, offsets=False).drop("text")
     return byte_bpe.digests(byte_bpe.decode(ids, ranks))
+
+
+@query("op10_quality_rules", rules.SQL)
+def op10_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.measured(docs).drop("text")
