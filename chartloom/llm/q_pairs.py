@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartloom.llm import decontaminate
+from chartloom.llm import bagminhash, decontaminate
 from chartloom.llm.common import table
 from chartloom.llm.queries import query
 
@@ -11,3 +11,8 @@ from chartloom.llm.queries import query
 def op4_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.report(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_bagminhash")
+def op3_bagminhash(spark, sf_dir):
+    return bagminhash.class_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
