@@ -19,13 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import let, stored, whole_text, word_hashes
+from chartloom.llm.graph import attach, bounded
 
 # Six words under ones, two to four places free.
 MASKS = ("11010111", "111001011", "1101100101")
 WINDOW = 13
 SHARE = 0.8
-# Sides of at most so many rows (of under 100 bytes) are broadcast, larger ones shuffled.
-BROADCAST_ROWS = 100_000
 
 
 def seeds(hashes: Column, masks: tuple[str, ...] = MASKS) -> Column:
@@ -40,11 +39,6 @@ def seeds(hashes: Column, masks: tuple[str, ...] = MASKS) -> Column:
     return F.flatten(F.array(*(of(k, mask) for k, mask in enumerate(masks))))
 
 
-def with_bound(df: DataFrame, rows: int) -> DataFrame:
-    """A broadcast hint where the counted rows allow it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def item_table(items: DataFrame, item_text: str = "text", item_id: str = "item_id") -> tuple[DataFrame, DataFrame]:
     """Distinct item texts with their words, and the ids that carry each text."""
     whole = whole_text(item_text)
@@ -121,11 +115,11 @@ def overlaps(
     item_side = item_seeds(texts, masks)
     whole = whole_text(text)
     hashed = docs.select(fingerprint(whole).alias("fp"), word_hashes(whole).alias("h"))
-    found = stored(diagonals(hashed, with_bound(item_side, item_side.count()), masks), "diagonals")
-    lined = with_bound(found, found.count()).join(with_bound(texts, texts.count()), "item")
+    found = stored(diagonals(hashed, bounded(item_side, item_side.count()), masks), "diagonals")
+    lined = bounded(found, found.count()).join(bounded(texts, texts.count()), "item")
     compared = (
         docs.select(fingerprint(whole).alias("fp"), whole.alias("t"))
-        .join(with_bound(lined, found.count()), "fp")
+        .join(bounded(lined, found.count()), "fp")
         .select("fp", "item", overlap(word_hashes(F.col("t")), F.col("b"), F.col("diagonal"), window, share).alias("o"))
         .filter("o IS NOT NULL")
         .groupBy("fp", "item")
@@ -145,7 +139,7 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> D
     """Rows whose text overlaps no item."""
     hit = stored(overlaps(docs, items, text, **options).select("fp").distinct(), "hit-texts")
     return docs.withColumn("__fp", fingerprint(whole_text(text))).join(
-        with_bound(hit.withColumnRenamed("fp", "__fp"), hit.count()), "__fp", "left_anti"
+        bounded(hit.withColumnRenamed("fp", "__fp"), hit.count()), "__fp", "left_anti"
     ).select(*docs.columns)
 
 
@@ -153,7 +147,7 @@ def report(docs: DataFrame, items: DataFrame, text: str = "text", **options) ->
     """(doc_id, item_id, ...) for each document and item that overlap."""
     found = stored(overlaps(docs, items, text, **options), "overlaps")
     ids = docs.select("doc_id", fingerprint(whole_text(text)).alias("fp")).distinct()
-    return ids.join(with_bound(found, found.count()), "fp").drop("fp")
+    return attach(ids, found, "fp").drop("fp")
 
 
 def _seed_sql(table: str, key: str) -> str:

@@ -7,9 +7,23 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.common import stored
 
+# Counted sides of at most so many rows (of about 100 bytes) are broadcast, larger ones shuffled.
+BROADCAST_ROWS = 100_000
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """A broadcast hint where the counted rows allow it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def attach(rows: DataFrame, found: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """lookup for a stored side, counted first and broadcast if it is small."""
+    n = found.count()
+    return rows.join(F.broadcast(found), key, how) if n <= BROADCAST_ROWS else lookup(rows, found, key, how)
+
 
 def lookup(rows: DataFrame, found: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """rows with the columns of found, which has one row per key.
+    """rows with the columns of found, which has few rows per key.
 
     The join runs on a hash of the key, so both sides are exchanged for it even
     where found is grouped by the key already; AQE can then split a hot key.

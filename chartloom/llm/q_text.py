@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartloom.llm import byte_bpe, rules
+from chartloom.llm import byte_bpe, rules, secrets
 from chartloom.llm.common import table
 from chartloom.llm.queries import query
 
@@ -25,3 +25,9 @@ def op9_byte_bpe(spark, sf_dir):
 def op10_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.measured(docs).drop("text")
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return secrets.report(docs, path="source")
