@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartloom.llm import byte_bpe, rules, secrets
+from chartloom.llm import byte_bpe, personal, rules, secrets
 from chartloom.llm.common import table
 from chartloom.llm.queries import query
 
@@ -31,3 +31,9 @@ def op10_quality_rules(spark, sf_dir):
 def op8_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return secrets.report(docs, path="source")
+
+
+@query("op7_personal_data")
+def op7_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal.digests(personal.detect(docs))
