@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chartloom.catalog import query
-from chartloom.catalog.standins import table, widen
+from chartloom.catalog.standins import table
 from chartloom.functions import payloads as json_of
 from chartloom.operators import comments, pages
 
@@ -25,7 +25,7 @@ _BLOCKS = f"""blocks AS (
 
 
 def _captured(spark, sf_dir):
-    return widen(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def _wiki_pages(spark, sf_dir):
@@ -78,7 +78,7 @@ def html_tables(spark, sf_dir):
         cell,
         F.format_string("</td><td>%s &amp; <i>%s</i></td></tr><tr><td>1</td><td>short</td></tr></tbody></table>", "p_brand", "p_type"),
     )
-    made = widen(table(spark, sf_dir, "part"), "p_partkey").select(
+    made = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("page_id"), F.lit("https://en.example.org/wiki/Singles").alias("url"), source.alias("html")
     )
     return pages.chart_rows(made)

@@ -293,7 +293,7 @@ def head_preview(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = new_workspace(spark, "csv")
     tables.write_csv(table(spark, sf_dir, "documents"), path)
-    return tables.read_csv(spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    return tables.read_csv(spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint", multi_line=True)
 
 
 @query("json_roundtrip", "SELECT conv_id, turn, role, text FROM conversations")

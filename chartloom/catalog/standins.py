@@ -20,16 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def widen(df: DataFrame, *keys: str) -> DataFrame:
-    """A task per core for costly per-row work on a table of few files.
-
-    The test tables are one file each, which one task would read and parse
-    alone.  A table of at least as many files as cores is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
-
-
 def text_id(prefix: str, c) -> F.Column:
     return F.concat(F.lit(prefix), F.col(c).cast("string"))
 

@@ -59,8 +59,8 @@ def stream_dedup(spark, sf_dir):
     root = new_workspace(spark, "stream-dedup")
     songs = flows.file_stream(tune(spark), sf_dir, "part.parquet")
     keys = songs.select(track_key(F.col("p_name"), F.col("p_brand")).alias("track_key"))
-    flows.append_to(flows.once_per_key(keys, "track_key"), root)
-    return flows.read_appended(spark, root)
+    flows.once_per_key(keys, root, "track_key")
+    return flows.read_once(spark, root)
 
 
 @query(
@@ -72,4 +72,4 @@ def stream_upsert(spark, sf_dir):
     root = new_workspace(spark, "stream-upsert")
     events = flows.file_stream(tune(spark), sf_dir, "events.parquet").select("user_id", "event_id", "event_type", "value")
     flows.changes_to(events, root, ["user_id"], order="event_id")
-    return flows.read_changes(spark, root, ["user_id"])
+    return flows.read_changes(spark, root, ["user_id"], order="event_id")

@@ -105,8 +105,9 @@ def chart_rows(root: Node):
     """(table, row, place, name, href, artist) of each chart row with three cells or more."""
     charts = [t for t in root.walk("table") if CHART_CLASSES <= t.classes()]
     for t, chart in enumerate(charts):
-        rows = [r for body in chart.walk("tbody") for r in body.walk("tr")]
-        for r, row in enumerate(rows):
+        # A row of a nested table lies in two bodies but is one row.
+        rows = {id(r): r for body in chart.walk("tbody") for r in body.walk("tr")}
+        for r, row in enumerate(rows.values()):
             cells = list(row.walk("td"))
             if len(cells) < 3:
                 continue

@@ -47,11 +47,6 @@ def track_key(name: Column, artist: Column) -> Column:
     return F.lower(F.concat(side(name), F.lit(BLANK_KEY), side(artist)))
 
 
-def either(first: Column, second: Column) -> Column:
-    """``first`` unless it is NULL or empty."""
-    return F.coalesce(F.nullif(first, F.lit("")), second)
-
-
 def joinable_key(key: Column) -> Column:
     """The key as used in joins: the blank key matches nothing."""
     return F.nullif(key, F.lit(BLANK_KEY))
@@ -154,10 +149,6 @@ def all_digits(c: Column) -> Column:
     return c.rlike("^[0-9]+$")
 
 
-def strip_quotes(c: Column) -> Column:
-    return F.btrim(c, F.lit('"'))
-
-
 def has_award_word(c: Column, words=AWARD_WORDS) -> Column:
     """Substring test, so 'won' also hits 'wonder'."""
     text = F.lower(c)

@@ -10,11 +10,11 @@ from chartloom.operators.ordering import by_reference_order, first_rows
 
 
 def only_new(new: DataFrame, published: DataFrame, key: str) -> DataFrame:
-    return new.join(published.select(key), key, "left_anti")
+    return new.join(published.select(key).distinct(), key, "left_anti")
 
 
 def only_known(rows: DataFrame, published: DataFrame, key: str) -> DataFrame:
-    return rows.join(published.select(key), key, "left_semi")
+    return rows.join(published.select(key).distinct(), key, "left_semi")
 
 
 def with_defaults(rows: DataFrame, defaults: dict[str, Column]) -> DataFrame:
@@ -37,12 +37,15 @@ def delete_matching(rows: DataFrame, removed: DataFrame, keys: list[str]) -> Dat
     """Delete rows that match on any of ``keys``.
 
     One anti join per key: a single join on an OR has no equi key and would
-    compare all pairs.
+    compare all pairs.  The joins run on 256-bit hashes, each once, so that long
+    texts as keys do not travel.
     """
     out = rows
     for k in keys:
-        gone = removed.filter(F.col(k).isNotNull() & (F.col(k) != "")).select(F.col(k).alias("__k"))
-        out = out.join(gone, out[k].cast("string") == gone["__k"].cast("string"), "left_anti")
+        gone = removed.filter(F.col(k).isNotNull() & (F.col(k).cast("string") != ""))
+        gone = gone.select(F.sha2(F.col(k).cast("string"), 256).alias("__gone")).distinct()
+        out = out.withColumn("__k", F.sha2(F.col(k).cast("string"), 256))
+        out = out.join(gone, out["__k"] == gone["__gone"], "left_anti").drop("__k")
     return out
 
 
@@ -59,14 +62,6 @@ def append_new(published: DataFrame, new: DataFrame, key: str, order: str, room:
     return published.unionByName(first_rows(fresh, order, room), allowMissingColumns=True)
 
 
-def union_ranked(*layouts: DataFrame) -> DataFrame:
-    """Union with a ``layout`` rank, earlier inputs first."""
-    out = layouts[0].withColumn("layout", F.lit(0))
-    for i, df in enumerate(layouts[1:], start=1):
-        out = out.unionByName(df.withColumn("layout", F.lit(i)))
-    return out
-
-
 def dedup_with_id(df: DataFrame, group: list[str], ident: str, order: list[str]) -> DataFrame:
     """First row per id within a group; rows without an id are all kept.
 

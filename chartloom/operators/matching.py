@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.similarity import ARTIST_THRESHOLD, page_score, word_set_ratio, words
-from chartloom.functions.text import clean_search, normalize_text, page_url, track_key
+from chartloom.functions.text import clean_lyrics, clean_search, joinable_key, normalize_text, page_url, track_key
 from chartloom.functions.values import year_score
 from chartloom.operators.keyed import argmax_first, first_wins
 from chartloom.operators.lookups import left_lookup
@@ -24,13 +24,14 @@ def cascade_match(base: DataFrame, catalogue: DataFrame, row: str) -> DataFrame:
         # The cleaned text is a column of its own: several expressions read it.
         cleaned = rows.withColumn("__text", F.concat_ws(" ", clean_search(name), clean_search(artist)))
         parts = F.split(normalize_text(F.col("__text")), " ")
-        return cleaned.withColumn("__wide", F.array_join(F.array_sort(F.array_distinct(parts)), " ")).drop("__text")
+        key = F.nullif(F.array_join(F.array_sort(F.array_distinct(parts)), " "), F.lit(""))
+        return cleaned.withColumn("__wide", key).drop("__text")
 
-    strict_key = track_key(F.col("title"), F.col("artist"))
-    strict = first_wins(catalogue.select(strict_key.alias("sk"), "pos", F.struct("id", "popularity").alias("strict_hit")), "sk", "pos")
+    strict_key = joinable_key(track_key(F.col("title"), F.col("artist")))
+    strict = first_wins(catalogue.select(strict_key.alias("sk"), "pos", F.struct("id", "popularity").alias("strict_hit")).filter("sk IS NOT NULL"), "sk", "pos")
     keyed = with_loose_key(catalogue, F.col("title"), F.col("artist"))
-    wide = first_wins(keyed.select(F.col("__wide").alias("wk"), "pos", F.struct("id", "popularity").alias("loose_hit")), "wk", "pos")
-    tried = left_lookup(base, strict.drop("pos"), track_key(F.col("name"), F.col("artist")), "sk", [row])
+    wide = first_wins(keyed.select(F.col("__wide").alias("wk"), "pos", F.struct("id", "popularity").alias("loose_hit")).filter("wk IS NOT NULL"), "wk", "pos")
+    tried = left_lookup(base, strict.drop("pos"), joinable_key(track_key(F.col("name"), F.col("artist"))), "sk", [row])
     # Only rows without a strict hit carry text into the costlier key.
     left_over = [F.when(F.col("strict_hit").isNull(), F.col(c)) for c in ("name", "artist")]
     tried = with_loose_key(tried, *left_over)
@@ -68,12 +69,14 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
     queries: query_ord, name, artist, year;  strict: query_ord, lyrics,
     pageviews, release_date;  hits: query_ord, pos, type, id, artist_names,
     release_date_components, pageviews;  details: id, lyrics, pageviews,
-    release_date.  ``pos`` is any sortable column.
+    release_date.  ``pos`` is any sortable column.  Of several responses the one of
+    the greatest ``ord`` counts (if there is no such column, any one).  Lyrics are
+    cleaned before they count; queries with a strict hit are not scored.
 
     The picks are one aggregate per query, so a query with very many hits merges
     map-side.
     """
-    asked = queries.select("query_ord", words(clean_search(F.col("artist"))).alias("__mine"), F.col("year").alias("__year"))
+    asked = queries.join(strict.select("query_ord").distinct(), "query_ord", "left_anti").select("query_ord", words(clean_search(F.col("artist"))).alias("__mine"), F.col("year").alias("__year"))
     theirs = words(clean_search(F.col("artist_names"))).alias("__theirs")
     songs = hits.filter(F.col("type") == "song").select(
         "query_ord", "pos", "id", "pageviews", F.col("release_date_components.year").alias("__hit_year"), theirs
@@ -92,15 +95,20 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
         F.when(near, "Artist-Fuzz").when(F.col("by_year").isNotNull(), "Heuristic").alias("method"),
         F.lit(True).alias("has_hits"),
     )
-    response = F.struct("lyrics", "pageviews", "release_date")
+    text = F.nullif(clean_lyrics(F.col("lyrics")), F.lit(""))
+    response = F.struct(text.alias("lyrics"), "pageviews", "release_date")
+
+    def last(responses: DataFrame) -> F.Column:
+        return F.max_by(response, "ord") if "ord" in responses.columns else F.max(response)
+
     found = left_lookup(
         chosen,
-        details.groupBy(F.col("id").alias("__id")).agg(F.max(response).alias("d")),  # captured once or more
+        details.groupBy(F.col("id").alias("__id")).agg(last(details).alias("d")),
         F.col("match_id"),
         "__id",
         ["query_ord"],
     )
-    first = strict.groupBy("query_ord").agg(F.max(response).alias("s"))
+    first = strict.groupBy("query_ord").agg(last(strict).alias("s"))
     joined = queries.join(first, "query_ord", "left").join(found, "query_ord", "left")
     code = F.when(F.col("d").isNull(), "Error (Code)").when(F.col("d.lyrics").isNull(), "Lyrics Empty").otherwise("Success")
     status = (

@@ -1,9 +1,10 @@
 """Row order on Spark: positions, slices, first rows.
 
-Order is always a column.  Positions come from two levels: rows are counted
-per block of the order column, the counts are summed up over the blocks, and a
-row's position is its block's start plus its place within the block.  No task
-ever sorts more than one block, whatever the size of a key.
+Order is always a column.  Positions come from a range partitioning by key, order
+and a hash of the row, which spreads equal orders too: the sorted partitions are
+written once, their rows are counted per key, and a row's position is the count of
+the partitions before plus its place within its own.  No task sorts more than a
+partition, whatever the size of a key or the number of equal orders.
 """
 
 from __future__ import annotations
@@ -13,13 +14,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chartloom.operators.lookups import left_lookup
+from chartloom.session import new_workspace
 
-BLOCK_ROWS = 1_000_000
-TOP_K_ROWS = 100_000
 
-
-def block_of(order: Column, size: int = BLOCK_ROWS) -> Column:
-    return F.floor(order / F.lit(size)).cast("bigint")
+def _hashable(df: DataFrame) -> list[str]:
+    return [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
 
 
 def add_position(
@@ -27,44 +26,39 @@ def add_position(
     order: str,
     keys: list[str] | None = None,
     into: str = "pos",
-    block: Column | None = None,
     ties: list[str] | None = None,
 ) -> DataFrame:
     """1-based position in ``order`` (within ``keys`` when given).
 
-    ``block`` must not fall as ``order`` grows; by default it is a fixed width
-    of the order column.  ``ties`` makes the order total.
+    ``order`` is any sortable column; rows of equal order go by ``ties``, then by a
+    hash of the row.
     """
-    at = df.withColumn(
-        "__at", F.struct(*(keys or []), (block_of(F.col(order)) if block is None else block).alias("__block"))
-    )
-    # One struct as the key: its NULL fields compare equal, and the join and the
-    # window below are served by the same exchange.
-    before = W.partitionBy(*[F.col("__at")[k] for k in keys or []]).orderBy(F.col("__at")["__block"])
+    keys = keys or []
+    by = [*keys, order, *(ties or []), "__row"]
+    spark = df.sparkSession
+    folder = new_workspace(spark, "positions")
+    placed = df.withColumn("__row", F.xxhash64(*_hashable(df))).repartitionByRange(*by)
+    placed.withColumn("__part", F.spark_partition_id()).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    cell = F.struct("__part", *keys)
+    # A row per partition and key; a key has at most one for each partition.
+    before = W.partitionBy(*keys).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        at.groupBy("__at")
+        rows.groupBy("__part", *keys)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .select(
-            F.col("__at").alias("__of"),
-            F.coalesce(F.sum("__n").over(before.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__start"),
-        )
+        .select(cell.alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     )
-    within = W.partitionBy("__at").orderBy(order, *(ties or []))
+    within = W.partitionBy("__cell").orderBy(order, *(ties or []), "__row")
     return (
-        at.join(starts, F.col("__at") == F.col("__of"))
+        rows.withColumn("__cell", cell)
+        .join(starts, F.col("__cell") == F.col("__of"))
         .withColumn(into, (F.col("__start") + F.row_number().over(within)).cast("bigint"))
-        .drop("__at", "__of", "__start")
+        .select(*df.columns, into)
     )
 
 
 def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
-    """The ``n`` lowest rows.
-
-    A small ``n`` is a top-k; a large one is cut by position, so that it stays
-    distributed.
-    """
-    if n <= TOP_K_ROWS:
-        return df.orderBy(order).limit(max(n, 0))
+    """The ``n`` lowest rows by position; rows of equal order go by a hash of the row."""
     return add_position(df, order, into="__pos").filter(F.col("__pos") <= n).drop("__pos")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.functions.text import either, first_nonempty, joinable_key, track_key, watch_url
+from chartloom.functions.text import first_nonempty, joinable_key, track_key, watch_url
 from chartloom.functions.values import comment_limit, drop_empty, or_empty
 from chartloom.operators.keyed import last_wins
 from chartloom.operators.lookups import (
@@ -24,9 +24,13 @@ _EMPTY_COMMENTS = (
 
 
 def link_side(links: DataFrame) -> DataFrame:
-    """Last link record per key, with a watch address where only the id is known."""
-    keyed = links.select(
-        joinable_key(track_key(F.col("name"), F.col("artist"))).alias("track_key"),
+    """Last link record per key, with a watch address where only the id is known.
+
+    A record without ``name`` is known by its ``track_name``.
+    """
+    title = first_nonempty(F.col("name"), F.col("track_name"))
+    keyed = with_columns(links, {"name": "string", "track_name": "string"}).select(
+        joinable_key(track_key(title, F.col("artist"))).alias("track_key"),
         "youtube_id",
         first_nonempty(F.col("youtube_url"), watch_url(F.nullif(F.col("youtube_id"), F.lit("")))).alias("youtube_url"),
         "youtube_candidates",
@@ -36,12 +40,15 @@ def link_side(links: DataFrame) -> DataFrame:
 
 
 def comment_rows(comments: DataFrame) -> DataFrame:
-    key = either(F.col("track_key"), track_key(F.col("track_name"), F.col("artist")))
-    return comments.withColumn("track_key", joinable_key(key))
+    """Comments by key; one without a key or ``track_name`` is known by its ``name``."""
+    named = with_columns(comments, {"name": "string", "track_name": "string"})
+    title = first_nonempty(F.col("track_name"), F.col("name"))
+    key = first_nonempty(F.col("track_key"), track_key(title, F.col("artist")))
+    return named.withColumn("track_key", joinable_key(key)).select(*comments.columns, *({"track_key"} - set(comments.columns)))
 
 
 def award_side(awards: DataFrame) -> DataFrame:
-    key = either(F.col("track_key"), track_key(F.col("track_name"), F.col("artist")))
+    key = first_nonempty(F.col("track_key"), track_key(F.col("track_name"), F.col("artist")))
     rows = awards.select(joinable_key(key).alias("track_key"), or_empty(drop_empty(F.col("awards"))).alias("awards"), "ord")
     return last_wins(rows.filter(F.col("track_key").isNotNull()), "track_key", "ord").drop("ord")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.functions.values import nan_to_null
 
@@ -22,7 +23,6 @@ AUDIO_FIELDS = (
 FEATURE_HEADER = ["filename", *AUDIO_FIELDS, "label"]
 FEATURE_BASE_COLUMNS = ("year", "place", "name", "artist", "link", "popularity")
 CATALOGUE_KEY_COLUMNS = ("year", "place", "name", "artist", "link", "spotify_track_id", "popularity")
-COMMENT_FIELDS = ("comment_id", "author", "text", "like_count", "published_at", "position")
 # -----------------------------------------------------------------------------
 
 AUDIO_STRUCT = "struct<" + ",".join(f"{f}:{'bigint' if f == 'length' else 'double'}" for f in AUDIO_FIELDS) + ">"
@@ -37,13 +37,11 @@ VIDEO_LINKS = (
     "youtube_id string, youtube_url string,"
     " youtube_candidates array<struct<youtube_id:string,youtube_url:string>>, name string, artist string, year string"
 )
-PAGE_LINKS = "name string, artist string, year string, link string"
 COMMENTS = (
     "track_key string, track_name string, artist string, youtube_id string, comment_id string, author string,"
     " text string, like_count string, published_at string, position int"
 )
 AWARDS = "track_key string, track_name string, artist string, year string, source string, awards array<string>"
-YEAR_LINKS = "year string, url string"
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
@@ -73,6 +71,23 @@ def ordered_values(struct: Column, header: list[str]) -> Column:
     return F.array(*[struct[f].cast("double") for f in header])
 
 def clean_nans(df: DataFrame) -> DataFrame:
-    """NaN -> NULL in every top-level float column; run after each read."""
-    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
-    return df.withColumns({c: nan_to_null(F.col(c)) for c in floats})
+    """NaN -> NULL in every float, those in structs and arrays included; run after each read."""
+    return df.withColumns({f.name: without_nan(F.col(f.name), f.dataType) for f in df.schema.fields if has_floats(f.dataType)})
+
+
+def has_floats(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return has_floats(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(has_floats(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.DoubleType, T.FloatType))
+
+
+def without_nan(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return nan_to_null(c)
+    if isinstance(kind, T.ArrayType) and has_floats(kind):
+        return F.transform(c, lambda x: without_nan(x, kind.elementType))
+    if isinstance(kind, T.StructType) and has_floats(kind):
+        return F.when(c.isNotNull(), F.struct(*[without_nan(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    return c

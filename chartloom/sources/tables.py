@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from chartloom.schemas import clean_nans
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """CSV with a header.  Records with line breaks in quotes need ``multi_line``; such files are not split."""
+    reader = spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
     return clean_nans(reader.csv(path))
 
 

@@ -71,14 +71,15 @@ def changes_to(
     query.awaitTermination()
 
 
-def read_changes(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
-    """The newest row per key over all batches."""
-    return last_wins(spark.read.parquet(f"{root}/data"), keys, "batch").drop("batch")
+def read_changes(spark: SparkSession, root: str, keys: list[str], order: str | None = None) -> DataFrame:
+    """The newest row per key over all batches: by ``order`` if given, else by batch."""
+    by = [order, "batch"] if order else "batch"
+    return last_wins(spark.read.parquet(f"{root}/data"), keys, by).drop("batch")
 
 
-def compact(spark: SparkSession, root: str, keys: list[str], published: str) -> int:
+def compact(spark: SparkSession, root: str, keys: list[str], published: str, order: str | None = None) -> int:
     """Publish the current rows as one table version."""
-    return publish(read_changes(spark, root, keys), published)
+    return publish(read_changes(spark, root, keys, order), published)
 
 
 def stage_state(events: DataFrame, key: str, stage: str, stages: list[str]) -> DataFrame:
@@ -93,12 +94,30 @@ def stage_state(events: DataFrame, key: str, stage: str, stages: list[str]) -> D
     return counts.select(key, reached.alias("stages"), (F.size(reached) == len(stages)).alias("done"))
 
 
-def once_per_key(stream: DataFrame, key: str, event_time: str | None = None, late: str = "1 day") -> DataFrame:
-    """First row per key, across restarts.
+def once_per_key(stream: DataFrame, root: str, key: str) -> None:
+    """Drain the first row of each key into ``root``, exactly once across restarts.
 
-    Without an event time every key ever seen stays in the state; with one,
-    keys older than ``late`` are forgotten.
+    What is published is the state: each batch is reduced to one row per key and
+    anti-joined to the keys of the batches before it.  A batch that runs again
+    leaves its own folder out of that and overwrites it.
     """
-    if event_time is None:
-        return stream.dropDuplicates([key])
-    return stream.withWatermark(event_time, late).dropDuplicatesWithinWatermark([key])
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        new = rows.dropDuplicates([key])
+        if batch:
+            earlier = [f"{root}/data/batch={b}" for b in range(batch)]
+            before = rows.sparkSession.read.parquet(*earlier).select(key).distinct()
+            new = new.join(before, key, "left_anti").select(*rows.columns)
+        new.write.mode("overwrite").parquet(f"{root}/data/batch={batch}")
+
+    query = (
+        stream.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", f"{root}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def read_once(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/data").drop("batch")

@@ -50,12 +50,10 @@ def test_argmax_takes_first_on_tie(rows):
     assert {r.k: r.ord for r in best.collect()} == want
 
 
-@pytest.mark.parametrize("size", [1, 7, 100, 10_000])
-def test_positions(rows, size):
-    block = ordering.block_of(F.col("ord"), size)
-    placed = ordering.add_position(rows, "ord", into="p", block=block).collect()
+def test_positions(rows):
+    placed = ordering.add_position(rows, "ord", into="p").collect()
     assert sorted((r.p, r.ord) for r in placed) == [(i + 1, i) for i in range(600)]
-    per_key = ordering.add_position(rows, "ord", ["k"], into="p", block=block).collect()
+    per_key = ordering.add_position(rows, "ord", ["k"], into="p").collect()
     want = {(k, g[0]): i + 1 for k, group in by_key().items() for i, g in enumerate(group)}
     assert {(r.k, r.ord): r.p for r in per_key} == want
 
@@ -65,13 +63,18 @@ def test_positions_keep_null_keys(spark):
     assert sorted((r.ord, r.p) for r in ordering.add_position(df, "ord", ["k"], into="p").collect()) == [(1, 1), (2, 2), (3, 1)]
 
 
-def test_first_rows_both_ways(rows, monkeypatch):
-    assert sorted(r.ord for r in ordering.first_rows(rows, "ord", 25).collect()) == list(range(25))
-    monkeypatch.setattr(ordering, "TOP_K_ROWS", 3)
+def test_first_rows(rows):
     assert sorted(r.ord for r in ordering.first_rows(rows, "ord", 25).collect()) == list(range(25))
     assert ordering.first_rows(rows, "ord", 0).count() == 0
 
 
+def test_first_rows_of_a_struct_a_sparse_and_an_equal_order(spark):
+    df = spark.range(120_000).select("id", F.struct((-F.col("id")).alias("a"), "id").alias("s"), (F.col("id") * 10**9).alias("far"), F.lit(1).alias("same"))
+    assert ordering.first_rows(df, "s", 110_000).agg(F.min("id"), F.count("id")).first() == (10_000, 110_000)
+    assert ordering.first_rows(df, "far", 3).agg(F.max("id")).first()[0] == 2
+    assert ordering.first_rows(df, "same", 50_000).select("id").distinct().count() == 50_000
+
+
 def test_slices(rows):
     assert sorted(r.ord for r in ordering.slice_rows(rows, "ord", 10, 5).collect()) == list(range(10, 15))
     assert ordering.slice_rows(rows, "ord", 10, 0).count() == 590

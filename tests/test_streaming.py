@@ -55,8 +55,8 @@ def test_once_per_key(spark):
 
     def run():
         stream = flows.file_stream(spark, folder, "*.parquet").select(F.col("user_id").alias("track_key"))
-        flows.append_to(flows.once_per_key(stream, "track_key"), root)
-        return sorted(r.track_key for r in flows.read_appended(spark, root).collect())
+        flows.once_per_key(stream, root, "track_key")
+        return sorted(r.track_key for r in flows.read_once(spark, root).collect())
 
     write(spark, folder, 0, [(1, "a", 1), (1, "b", 2)], EVENTS)
     assert run() == [1]
@@ -64,9 +64,9 @@ def test_once_per_key(spark):
     assert run() == [1, 2]
 
 
-def test_once_per_key_with_event_time(spark):
+def test_newest_row_wins_over_batches_out_of_order(spark):
     folder, root = new_workspace(spark, "in"), new_workspace(spark, "out")
-    write(spark, folder, 0, [(1, "a", 1), (1, "b", 2), (2, "c", 3)], EVENTS)
-    stream = flows.file_stream(spark, folder, "*.parquet").withColumn("at", F.timestamp_seconds("n"))
-    flows.append_to(flows.once_per_key(stream, "user_id", "at", "1 hour"), root)
-    assert sorted(r.user_id for r in flows.read_appended(spark, root).collect()) == [1, 2]
+    for batch, row in enumerate([(1, "new", 9), (1, "old", 3)]):
+        write(spark, folder, batch, [row], EVENTS)
+        flows.changes_to(flows.file_stream(spark, folder, "*.parquet"), root, ["user_id"], order="n")
+    assert [r.n for r in flows.read_changes(spark, root, ["user_id"], order="n").collect()] == [9]
