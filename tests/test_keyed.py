@@ -1,3 +1,4 @@
+import collections
 import random
 from collections import defaultdict
 
@@ -229,3 +230,21 @@ def test_next_target(spark):
     assert sorted(r.ord for r in incremental.next_target(rows, 0, 9, strict=True).collect()) == [0, 2]
     lines = {r.ord: r.line for r in incremental.incomplete_report(rows).collect()}
     assert lines == {3: "c - x: missing spotify_track_id", 4: "d - x: missing audio_metadata"}
+
+
+@pytest.mark.parametrize("n", [1, 97, 9_000, 29_999])
+def test_first_rows_against_sorting(spark, n):
+    """NULL orders first, ties, equal rows and a map column, beyond what is collected."""
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(300)]), rng.randint(0, 3), {"a": rng.randint(0, 2)}) for _ in range(30_000)]
+    got = ordering.first_rows(spark.createDataFrame(rows, "o int, x int, m map<string,int>").repartition(7), "o", n).collect()
+    least = sorted((-1 if o is None else o) for o, _, _ in rows)[:n]
+    assert sorted(-1 if r.o is None else r.o for r in got) == least
+    held = collections.Counter((o, x, m["a"]) for o, x, m in rows)
+    assert not collections.Counter((r.o, r.x, r.m["a"]) for r in got) - held
+
+
+def test_first_rows_sorts_and_exchanges_nothing(spark):
+    out = ordering.first_rows(spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet"), "l_orderkey", 7_000)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in text and "Sort" not in text and "LessThanOrEqual(l_orderkey" in text
