@@ -21,4 +21,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from chartloom.llm import q_models, q_pages, q_pairs, q_text  # noqa: F401
+    from chartloom.llm import q_models, q_pages, q_pairs, q_sets, q_text  # noqa: F401
