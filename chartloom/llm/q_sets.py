@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from chartloom.llm import merkle
+from pathlib import Path
+
+from chartloom.llm import merkle, packing
 from chartloom.llm.common import table
 from chartloom.llm.queries import query
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op12_nnls_packing")
+def op12_nnls_packing(spark, sf_dir):
+    spec = Path(tokenizer_file()).read_text()
+    return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"), spec)
+
+
 @query("op13_merkle_manifest")
 def op13_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))

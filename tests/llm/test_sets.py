@@ -5,9 +5,13 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from chartloom.llm import merkle
+from chartloom.llm import merkle, packing
+from chartloom.llm.q_sets import tokenizer_file
 
 
 def h(text):
@@ -88,3 +92,73 @@ def test_manifest_of_few_rows(spark):
     for rows in ([], one, [*one, (2, "a", "b", 3, "Text")], [(i, "s", None, None, "A") for i in range(17)]):
         df = spark.createDataFrame([(*r, "a", 1, "b", 2, "c") for r in rows], SCHEMA)
         assert sorted((tuple(r) for r in merkle.manifest(df).collect()), key=str) == manifest_of(rows)
+
+
+def checked(rows, texts, window):
+    """Pieces cover every document once and sequences hold them without gaps; the padding."""
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    ids = [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for t in texts]
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+        own = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(own.tobytes()) and r.doc_tokens == len(ids[r.doc_id])
+    for i, own in enumerate(ids):
+        cuts = sorted((r.start, r.length) for r in by_doc[i])
+        assert [s for s, _ in cuts] == [0, *np.cumsum([n for _, n in cuts])[:-1]] and sum(n for _, n in cuts) == len(own)
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    padding = 0
+    for parts in by_sequence.values():
+        parts.sort(key=lambda r: r.offset)
+        ends = np.cumsum([r.length for r in parts])
+        assert [r.offset for r in parts] == [0, *ends[:-1]] and ends[-1] <= window
+        padding += window - ends[-1] if ends[-1] & (ends[-1] - 1) else 0
+    return padding / sum(map(len, ids))
+
+
+def test_packing_holds_every_token_once(make):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["alpha", "be", "\u00e9t\u00e9", "\n", "<|endoftext|>", "x1", "..."], k=rng.randint(0, 700))) for _ in range(300)]
+    texts += [None, "", " ", "word " * 9000, *["same text"] * 300]
+    spec = open(tokenizer_file()).read()
+    docs = make(texts)
+    assert checked(packing.packed(docs, spec).collect(), texts, 2048) < 0.03
+    small = packing.packed(docs, spec, window=64, unit=4, with_ids=True)
+    checked(small.collect(), texts, 64)
+    tokens = sum(r.length for r in small.collect())
+    whole = packing.sequences(small, 64, fill=-1).collect()
+    assert all(len(r.ids) == 64 or len(r.ids) & (len(r.ids) - 1) == 0 for r in whole)
+    assert sum(x >= 0 for r in whole for x in r.ids) == tokens
+
+
+def test_packing_an_empty_table(make):
+    assert packing.packed(make(["a"]).filter("false"), open(tokenizer_file()).read()).count() == 0
+
+
+def test_least_squares_meets_the_conditions_of_a_minimum():
+    rng = np.random.default_rng(3)
+    columns = packing.shapes(24, 3)
+    assert len(columns) == len({tuple(c) for c in columns.tolist()}) and set(columns.sum(axis=1)) == {24}
+    assert len(columns) == sum(1 for a in range(0, 25) for b in range(max(a, 1), 25) if a + b <= 24 and 24 - a - b >= b)
+    for _ in range(5):
+        goal = np.r_[0, rng.integers(0, 1000, 24)].astype(float)
+        x = packing.nonnegative(columns, goal)
+        use = np.zeros((len(columns), 25))
+        for k in range(3):
+            np.add.at(use, (np.arange(len(columns)), columns[:, k]), 1)
+        use[:, 0] = 0
+        slope = use @ (use.T @ x - goal)
+        assert x.min() >= 0 and slope.min() > -1e-2 and abs(slope * x).max() < 10
+
+
+@pytest.mark.parametrize("window, unit", [(2048, 8), (64, 4), (16, 16)])
+def test_patterns_hold_every_piece(window, unit):
+    rng = random.Random(window)
+    counts = {length: rng.randint(1, 400) for length in range(1, window + 1) if rng.random() < 0.6}
+    held = defaultdict(int)
+    for parts, repeats in packing.patterns(counts, window, unit):
+        assert sum(length * k for length, k in parts) <= window
+        for length, k in parts:
+            held[length] += k * repeats
+    assert dict(held) == counts
