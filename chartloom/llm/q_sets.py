@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from chartloom.llm import merkle, packing
+from chartloom.llm import merkle, packing, phrases
 from chartloom.llm.common import table
 from chartloom.llm.queries import query
 
@@ -15,6 +15,11 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op11_phrase_collocations", phrases.SQL)
+def op11_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 @query("op12_nnls_packing")
 def op12_nnls_packing(spark, sf_dir):
     spec = Path(tokenizer_file()).read_text()

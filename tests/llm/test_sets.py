@@ -2,15 +2,16 @@
 
 import hashlib
 import random
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chartloom.llm import merkle, packing
+from chartloom.llm import merkle, packing, phrases
 from chartloom.llm.q_sets import tokenizer_file
 
 
@@ -162,3 +163,85 @@ def test_patterns_hold_every_piece(window, unit):
         for length, k in parts:
             held[length] += k * repeats
     assert dict(held) == counts
+
+
+UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def collocations_of(rows, least, first):
+    f = Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(UPPER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            f.update(("und" if lang is None else lang, tuple(w[i : i + k])) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    totals, found = Counter(), defaultdict(list)
+    for (lang, p), n in f.items():
+        totals[lang] += n if len(p) == 1 else 0
+    longer = [(lang, p, n) for (lang, p), n in f.items() if len(p) == 3 and n >= least]
+    for (lang, p), a in f.items():
+        if len(p) == 1 or a < least:
+            continue
+        if len(p) == 2 and any(x == lang and p in (q[:2], q[1:]) and 100 * n >= 50 * a for x, q, n in longer):
+            continue
+        score, _, l, r = min((10**6 * a * a // (f[lang, p[:k]] * f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p)))  # noqa: E741
+        found[lang].append((-score, -a, " ".join(p).encode(), l, r))
+    return sorted(
+        (lang, i, phrase.decode(), -a, l, r, totals[lang], -score)
+        for lang, rows in found.items()
+        for i, (score, a, phrase, l, r) in enumerate(sorted(rows)[:first], 1)  # noqa: E741
+    )
+
+
+def phrase_rows():
+    """A word and a pair that hold a third of all words, odd signs, NULLs, one long text."""
+    rng = random.Random(6)
+    words = ["The", "of", "\u00c9t\u00e9", "\u00e9t\u00e9", "New", "york", "x\u00a0y", "a-b", "1", "aa", "aaa", "\U0001f600"] + [f"w{i}" for i in range(60)]
+    signs = [" ", " ", " ", " ", "\t", "  ", ", ", ".", "\n", "\r\n", "!?", "\x0b", "\x85"]
+
+    def text(n):
+        out = []
+        for _ in range(n):
+            out.append(rng.choice(["hot pair", "hot pair again"]) if rng.random() < 0.3 else rng.choice(words))
+            out.append(rng.choice(signs))
+        return "".join(out)
+
+    rows = [(rng.choice(["en", "en", "de", None, "und", ""]), text(rng.randint(0, 60))) for _ in range(300)]
+    return rows + [("en", None), (None, ""), ("en", " \t"), ("en", text(6000)), *[("de", "the same line here")] * 25]
+
+
+@pytest.mark.parametrize("budget, chunk, bits", [(2_000_000, 2_000_000, 1 << 20), (300, 500, 1 << 20), (2_000, 97, 64)])
+def test_collocations_against_brute_force(spark, monkeypatch, budget, chunk, bits):
+    """Also where words and pairs pass the budget, chunks are small and the bit table is full."""
+    monkeypatch.setattr(phrases, "SMALLEST", 1)
+    rows = phrase_rows()
+    schema = "lang string, text string, key long, n long, word string, a long, t string"
+    df = spark.createDataFrame([(*r, 1, 2, "x", 3, "y") for r in rows], schema).repartition(4)
+    got = phrases.collocations(df, least=6, first=40, budget=budget, chunk=chunk, bits=bits)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    want = collocations_of(rows, 6, 40)
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 100
+
+
+def test_collocations_of_empty_tables(spark):
+    df = spark.createDataFrame([("en", None), (None, "")], "lang string, text string")
+    assert phrases.collocations(df).count() == 0 and phrases.collocations(df.filter("false")).count() == 0
+
+
+def test_ratio_is_exact_beyond_64_bits(spark):
+    a, l, r = 10**14 + 7, 10**15 + 1, 10**15 - 1  # noqa: E741
+    df = spark.createDataFrame([(a, l, r)], "a long, l long, r long")
+    assert df.select(phrases._ratio(F.col("a"), F.col("l"), F.col("r"))).first()[0] == 10**6 * a * a // (l * r)
+
+
+def test_subtree_counts_are_totals_of_leaves():
+    rng = np.random.default_rng(1)
+    a, b, c = (rng.integers(1, 4, 500).astype(np.uint64) for _ in range(3))
+    c[::5] = 0
+    n = rng.integers(1, 5, 500)
+    leaves = Counter()
+    for x, y, z, k in zip(a, b, c, n):
+        leaves[x, y] += k
+        if z:
+            leaves[x, y, z] += k
+    got = {tuple(p): t for _, path, total in phrases.subtree([a, b, c], n, 30) for *p, t in zip(*path, total)}
+    assert got == {p: t for p, t in leaves.items() if t >= 30}
