@@ -90,6 +90,12 @@ class _Hasher:
         return mix(out)
 
 
+def _extended(key: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Hash of a pair, in this order."""
+    with np.errstate(over="ignore"):
+        return mix(mix(key + _BASE) * np.uint64(3) + more)
+
+
 def tongue_hash(lang: str) -> int:
     data = np.frombuffer(lang.encode(), np.uint8)
     return int(_Hasher()(data, np.array([0]), np.array([len(data)]))[0]) if len(data) else 0
@@ -135,7 +141,7 @@ class _Reader:
             if name not in self.tongues:
                 self.tongues[name] = tongue_hash(name)
         salt = np.array([self.tongues[n] for n in names] or [0], np.uint64)
-        key = mix(self.hasher(data, start, end) ^ salt[lang]) if len(start) else np.empty(0, np.uint64)
+        key = _extended(salt[lang], self.hasher(data, start, end)) if len(start) else np.empty(0, np.uint64)
         return lang, names, key, follows, data, start, end
 
 
@@ -194,11 +200,6 @@ def has_bit(table: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _extended(key: np.ndarray, more: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(key * np.uint64(3) + more)
-
-
 class _Partitioning:
     """Group of each suffix; words and pairs over budget are extended."""
 

@@ -195,7 +195,7 @@ def collocations_of(rows, least, first):
 def phrase_rows():
     """A word and a pair that hold a third of all words, odd signs, NULLs, one long text."""
     rng = random.Random(6)
-    words = ["The", "of", "\u00c9t\u00e9", "\u00e9t\u00e9", "New", "york", "x\u00a0y", "a-b", "1", "aa", "aaa", "\U0001f600"] + [f"w{i}" for i in range(60)]
+    words = ["The", "of", "en", "de", "und", "\u00c9t\u00e9", "\u00e9t\u00e9", "New", "york", "x\u00a0y", "a-b", "1", "aa", "aaa", "\U0001f600"] + [f"w{i}" for i in range(60)]
     signs = [" ", " ", " ", " ", "\t", "  ", ", ", ".", "\n", "\r\n", "!?", "\x0b", "\x85"]
 
     def text(n):
@@ -219,7 +219,7 @@ def test_collocations_against_brute_force(spark, monkeypatch, budget, chunk, bit
     got = phrases.collocations(df, least=6, first=40, budget=budget, chunk=chunk, bits=bits)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     want = collocations_of(rows, 6, 40)
-    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 100
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 50
 
 
 def test_collocations_of_empty_tables(spark):
