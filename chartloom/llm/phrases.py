@@ -190,8 +190,9 @@ def bit_table(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     pages = keys.groupBy(F.floor(at / page).alias("page")).agg(F.expr(f"bitmap_construct_agg(CAST(pmod(pmod(key, {bits}), {page}) AS BIGINT))").alias("b"))
     out = np.zeros(bits // 8, np.uint8)
     for r in pages.toLocalIterator():
-        part = np.frombuffer(r["b"], np.uint8)
-        out[r["page"] * (page // 8) : r["page"] * (page // 8) + len(part)] = part
+        first = r["page"] * (page // 8)
+        room = out[first : first + page // 8]
+        room[:] = np.frombuffer(r["b"], np.uint8)[: len(room)]
     return out
 
 
