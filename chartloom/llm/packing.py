@@ -23,6 +23,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.llm.byte_bpe import _encoder
+from chartloom.llm.chunk_ids import ChunkEncoder
 from chartloom.llm.common import stored
 from chartloom.llm.graph import lookup
 
@@ -222,6 +223,11 @@ def places(found: list) -> Places:
     return Places(*np.array(rows, np.int64).reshape(-1, 5).T.copy())
 
 
+@lru_cache(maxsize=1)
+def _encoder(spec: str) -> ChunkEncoder:
+    return ChunkEncoder(spec)
+
+
 def pieces(docs: DataFrame, spec: str, ident: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = END, with_ids: bool = False) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, part, nth[, ids]) of each piece; spec is the tokenizer's JSON.
 
@@ -233,10 +239,10 @@ def pieces(docs: DataFrame, spec: str, ident: str = "doc_id", text: str = "text"
         encoder, part = _encoder(shared.value), TaskContext.get().partitionId()
         met = np.zeros(window + 1, np.int64)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            flat, bounds = encoder.batch(batch.column(1))
             rows, starts, lengths, crcs, sizes, nths, kept = [], [], [], [], [], [], []
-            for i, (ids,) in enumerate(encoder.batch(texts, False)):
-                ids = np.append(ids, end).astype("<u4")
+            for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+                ids = np.append(flat[a:b], end).astype("<u4")
                 for s in range(0, len(ids), window):
                     own = ids[s : s + window]
                     rows.append(i)

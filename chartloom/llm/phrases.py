@@ -66,7 +66,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         return np.multiply.accumulate(out)
 
 
-class _Hasher:
+class ByteHasher:
     """Hashes of byte ranges: a polynomial from running sums, then mixed."""
 
     def __init__(self):
@@ -98,14 +98,14 @@ def _extended(key: np.ndarray, more: np.ndarray) -> np.ndarray:
 
 def tongue_hash(lang: str) -> int:
     data = np.frombuffer(lang.encode(), np.uint8)
-    return int(_Hasher()(data, np.array([0]), np.array([len(data)]))[0]) if len(data) else 0
+    return int(ByteHasher()(data, np.array([0]), np.array([len(data)]))[0]) if len(data) else 0
 
 
 class _Reader:
     """Words of Arrow batches of (lang, text)."""
 
     def __init__(self):
-        self.hasher, self.tongues = _Hasher(), {}
+        self.hasher, self.tongues = ByteHasher(), {}
 
     def words(self, batch: pa.RecordBatch):
         """(lang of each word as an index, names of langs, key, same piece as the word before, bytes, start, end)."""

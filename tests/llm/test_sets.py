@@ -7,11 +7,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chartloom.llm import merkle, packing, phrases
+from chartloom.llm import chunk_ids, merkle, packing, phrases
 from chartloom.llm.q_sets import tokenizer_file
 
 
@@ -133,6 +134,21 @@ def test_packing_holds_every_token_once(make):
     assert sum(x >= 0 for r in whole for x in r.ids) == tokens
 
 
+@pytest.mark.parametrize("kept", [1_000_000, 40])
+def test_chunk_ids_equal_the_library(kept):
+    """Also with white space beyond ASCII, contractions, special tokens, and a table that is full."""
+    rng = random.Random(kept)
+    parts = [" ", "  ", "\n", "\t", "\u00a0", "\u2003", "\u3000", "\u1680", "\x85", "\x1c", "a", "Word", "word.", "don't", "'s", "\u00e9t\u00e9", ",", "...", "!?",
+             "12", "<|endoftext|>", "\u4e2d\u6587", "\U0001f600", "\u2019", "\u201c", "x" * 40, "\u0416", "_", "-", "\r\n"]
+    tokenizer, encoder = Tokenizer.from_file(tokenizer_file()), chunk_ids.ChunkEncoder(open(tokenizer_file()).read(), kept)
+    for _ in range(30):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(40)] + [None, ""]
+        ids, bounds = encoder.batch(pa.array(texts)[1:])
+        want = tokenizer.encode_batch([t or "" for t in texts[1:]], add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [w.ids for w in want]
+    assert len(encoder.batch(pa.array([], pa.string()))[0]) == 0
+
+
 def test_packing_an_empty_table(make):
     assert packing.packed(make(["a"]).filter("false"), open(tokenizer_file()).read()).count() == 0
 
