@@ -120,33 +120,50 @@ def _nth(places: DataFrame, n: int, rows: int) -> tuple:
         base += passed
 
 
+def nth_place(df: DataFrame, place: Column, n: int) -> tuple | None:
+    """(the n-th lowest place, rows below it, rows up to it) as a struct column has it; None with at most n rows.
+
+    Only the places are read; they are written once and neither sorted nor exchanged.
+    """
+    folder = new_workspace(df.sparkSession, "places")
+    df.select(place.alias("p")).write.parquet(folder)
+    places = df.sparkSession.read.parquet(folder)
+    rows = places.count()
+    return _nth(places, n, rows) if rows > n else None
+
+
+def up_to(order: str, last, kind: T.DataType) -> Column:
+    """Rows up to a place in order, NULLs first; atomic orders reach the scan with it."""
+    return F.col(order).isNull() if last is None else F.col(order).isNull() | (F.col(order) <= _literal(last, kind))
+
+
 def first_rows(df: DataFrame, order: str, n: int) -> DataFrame:
     """The ``n`` lowest rows by ``order``; rows of equal order go by a hash of the row.
 
-    The n-th place is found by selection on the orders and row hashes alone, then one
-    filter takes the rows up to it; rows are neither sorted nor exchanged.  Of rows
-    that are equal in every column the last place may need fewer copies than there are.
+    The n-th place is found by selection on the order alone, then one filter takes the
+    rows up to it; rows are neither sorted nor exchanged.  Where more rows share the
+    last place than are needed, those are selected by their hashes in the same way; of
+    rows that are equal in every column as many copies are made as are needed.
     """
     if n <= 0:
         return df.filter(F.lit(False))
-    spark = df.sparkSession
-    place = F.struct(F.col(order).alias("o"), _row_hash(df).alias("h"))
-    folder = new_workspace(spark, "places")
-    df.select(place.alias("p")).write.parquet(folder)
-    places = spark.read.parquet(folder)
-    rows = places.count()
-    if rows <= n:
+    place, kind = F.struct(F.col(order).alias("o")), df.schema[order].dataType
+    found = nth_place(df, place, n)
+    if found is None:
         return df
-    last, below, upto = _nth(places, n, rows)
-    kind = places.schema["p"].dataType
-    bound = _literal(last, kind)
-    plain = F.col(order).isNull() if last["o"] is None else F.col(order).isNull() | (F.col(order) <= _literal(last["o"], kind["o"].dataType))
-    reached = df.filter(plain)  # atomic orders reach the scan with this
+    last, below, upto = found
+    bound = F.struct(_literal(last["o"], kind).alias("o"))
+    reached = df.filter(up_to(order, last["o"], kind))
     if upto == n:
         return reached.filter(place <= bound)
-    alike = reached.filter(place == bound).limit(1)
-    copies = alike.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), n - below))).drop("__copy")
-    return reached.filter(place < bound).unionByName(copies)
+    out, tied, own = reached.filter(place < bound), reached.filter(place == bound), _row_hash(df)
+    last, equal_below, equal_upto = nth_place(tied, own, n - below)
+    bound = F.struct(F.lit(last["a"]).cast("bigint").alias("a"), F.lit(last["b"]).alias("b"))
+    if equal_upto == n - below:
+        return out.unionByName(tied.filter(own <= bound))
+    alike = tied.filter(own == bound).limit(1)
+    copies = alike.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), n - below - equal_below))).drop("__copy")
+    return out.unionByName(tied.filter(own < bound)).unionByName(copies)
 
 
 def slice_rows(df: DataFrame, order: str, offset: int = 0, limit: int | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
@@ -10,31 +12,47 @@ from pyspark.sql import functions as F
 from chartloom.schemas import clean_nans
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
-    """CSV with a header.  Records with line breaks in quotes need ``multi_line``; such files are not split."""
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header; records may hold line breaks in quotes.
+
+    Such files are read whole, a task per file.  Without line breaks in any value
+    ``multi_line=False`` lets Spark split them.
+    """
     reader = spark.read.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
     return clean_nans(reader.csv(path))
 
 
-def read_json(spark: SparkSession, path: str, schema: str, lines: bool = True) -> DataFrame:
-    """JSON Lines, which Spark splits; ``lines=False`` for one array document."""
+def _one_record_a_line(spark: SparkSession, path: str) -> bool:
+    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
+    line = first[0]["value"].strip() if first else "{}"
+    return line.startswith("{") and line.endswith("}")
+
+
+def read_json(spark: SparkSession, path: str, schema: str, lines: bool | None = None) -> DataFrame:
+    """JSON Lines, which Spark splits, or one array document; told by the first line unless given."""
+    if lines is None:
+        lines = _one_record_a_line(spark, path)
     return clean_nans(spark.read.schema(schema).option("multiLine", not lines).json(path))
 
 
-def read_records(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str, schema: str, lines: bool | None = None, multi_line: bool = True
+) -> DataFrame:
     """By suffix: JSON for .json, CSV for anything else.  Missing input fails."""
     if path.lower().endswith(".json"):
         return read_json(spark, path, schema, lines)
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, multi_line)
 
 
 def _is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_optional(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+def read_optional(
+    spark: SparkSession, path: str, schema: str, lines: bool | None = None, multi_line: bool = True
+) -> DataFrame:
     try:
-        return read_records(spark, path, schema, lines)
+        return read_records(spark, path, schema, lines, multi_line)
     except AnalysisException as e:
         if _is_missing(e):
             return spark.createDataFrame([], schema)
@@ -63,8 +81,10 @@ def with_source_order(df: DataFrame, into: str = "ord") -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Sharded CSV; a shard is read by one task, so its rows are bounded."""
+    shards = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    shards.option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -81,34 +101,49 @@ def csv_to_json(spark: SparkSession, csv_path: str, json_path: str, schema: str)
     return True
 
 
-def publish(df: DataFrame, root: str) -> int:
-    """Write a new version, then make it current.
+_LOG = "version bigint, folder string, append boolean"
 
-    Readers see the old version until the one-row append to the version log
-    commits; a failed write leaves the log as it was.
-    """
-    spark = df.sparkSession
-    version = (_current_version(spark, root) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/v{version}")
-    spark.range(version, version + 1, 1, 1).withColumnRenamed("id", "version").write.mode("append").parquet(f"{root}/versions")
-    return version
 
+def publish(df: DataFrame, root: str, append: bool = False) -> int:
+    """Write a new version, then make it current; returns its number.
 
-def _current_version(spark: SparkSession, root: str) -> int | None:
+    Rows go to a folder of their own, and a one-row append to the version log names it:
+    as all rows of the version, or with ``append`` as more rows of the version before.
+    Readers see the old version until then; a failed write leaves the log as it was.
+    Writers that take the same number come one after the other by folder name, and
+    none loses appended rows.  Appending no rows changes nothing.
+    """
+    spark = df.sparkSession
+    folder = f"part-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{folder}")
+    version, _ = _current(spark, root)
+    if append and spark.read.parquet(f"{root}/{folder}").isEmpty():
+        return version
+    entry = spark.createDataFrame([(version + 1, folder, append)], _LOG)
+    entry.coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    return version + 1
+
+
+def _current(spark: SparkSession, root: str) -> tuple[int, list[str]]:
+    """Number of the current version, 0 for none, and its folders; the log has a row per publish."""
     try:
-        return spark.read.schema("version bigint").parquet(f"{root}/versions").agg(F.max("version")).first()[0]
+        log = spark.read.schema(_LOG).parquet(f"{root}/versions").collect()
     except AnalysisException as e:
         if _is_missing(e):
-            return None
+            return 0, []
         raise
+    version, folders = 0, []
+    for row in sorted(log):
+        version, folders = row.version, [*(folders if row.append else []), row.folder]
+    return version, folders
 
 
 def read_published(spark: SparkSession, root: str, schema) -> DataFrame:
     """The current version; no rows when nothing was published yet."""
-    version = _current_version(spark, root)
-    if version is None:
+    _, folders = _current(spark, root)
+    if not folders:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/v{version}")
+    return spark.read.schema(schema).parquet(*[f"{root}/{f}" for f in folders])
 
 
 def stage(spark: SparkSession, root: str, build) -> DataFrame:
@@ -117,10 +152,9 @@ def stage(spark: SparkSession, root: str, build) -> DataFrame:
     Also the way to cut a long lineage: what was written survives the loss of
     the executors that computed it.
     """
-    version = _current_version(spark, root)
-    if version is None:
-        version = publish(build(), root)
-    return spark.read.parquet(f"{root}/v{version}")
+    if not _current(spark, root)[1]:
+        publish(build(), root)
+    return spark.read.parquet(*[f"{root}/{f}" for f in _current(spark, root)[1]])
 
 
 def with_row_count(df: DataFrame) -> tuple[DataFrame, Observation]:

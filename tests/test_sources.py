@@ -43,7 +43,7 @@ def test_missing_inputs(spark, tmp_path):
 
 def test_csv_to_json(spark, tmp_path):
     full, empty = tmp_path / "f.csv", tmp_path / "e.csv"
-    full.write_text("year,url\n1946,http://a\n")
+    full.write_text('year,url\n1946,"http://a\nb"\n')
     empty.write_text("year,url\n")
     assert tables.csv_to_json(spark, str(full), str(tmp_path / "f.json"), YEAR_LINKS)
     assert spark.read.json(str(tmp_path / "f.json")).count() == 1
@@ -78,6 +78,37 @@ def test_publish_switches_versions(spark):
     assert tables.read_published(spark, root, "n int").count() == 2
 
 
+def test_publish_appends_without_rewriting(spark):
+    root = new_workspace(spark, "pub")
+    some = lambda *n: spark.createDataFrame([(x,) for x in n], "n int")
+    assert [tables.publish(some(*n), root, append=True) for n in ((1, 2), (3,), ())] == [1, 2, 2]
+    old = tables.read_published(spark, root, "n int")
+    assert len({Path(f).parent for f in old.inputFiles()}) == 2
+    assert sorted(r.n for r in old.collect()) == [1, 2, 3]
+    assert tables.publish(some(9), root) == 3
+    assert [r.n for r in tables.read_published(spark, root, "n int").collect()] == [9] and old.count() == 3
+
+
+def test_two_writers_of_a_version_lose_no_rows(spark, monkeypatch):
+    """Both read the log before either has logged."""
+    root, seen = new_workspace(spark, "pub"), tables._current
+    some = lambda n: spark.createDataFrame([(n,)], "n int")
+    tables.publish(some(0), root)
+    before = seen(spark, root)
+    monkeypatch.setattr(tables, "_current", lambda *_: before)
+    assert tables.publish(some(1), root, append=True) == tables.publish(some(2), root, append=True) == 2
+    monkeypatch.undo()
+    assert sorted(r.n for r in tables.read_published(spark, root, "n int").collect()) == [0, 1, 2]
+
+
+def test_json_is_told_by_its_first_line(spark, tmp_path):
+    shapes = {"lines": '{"n": 1}\n{"n": 2}\n', "array": '[{"n": 1}, {"n": 2}]', "spread": '[\n  {\n "n": 1\n},{"n": 2}]', "none": ""}
+    for name, text in shapes.items():
+        (tmp_path / f"{name}.json").write_text(text)
+        got = tables.read_records(spark, str(tmp_path / f"{name}.json"), "n int").collect()
+        assert sorted(r.n for r in got) == ([] if name == "none" else [1, 2]), name
+
+
 def test_stage_runs_once(spark):
     root, calls = new_workspace(spark, "stage"), []
 
