@@ -78,6 +78,17 @@ tp AS (SELECT vec_id, coalesce(arg_max(bpm, s), 0) AS tempo FROM (SELECT a.vec_i
 _HPSS = f"""med AS (SELECT vec_id, frame, bin, m, power(median(m) OVER (PARTITION BY vec_id, bin ORDER BY frame ROWS BETWEEN {WIDTH // 2} PRECEDING AND {WIDTH // 2} FOLLOWING), 2) AS h,
     power(median(m) OVER (PARTITION BY vec_id, frame ORDER BY bin ROWS BETWEEN {WIDTH // 2} PRECEDING AND {WIDTH // 2} FOLLOWING), 2) AS p FROM sp),
 hp AS (SELECT vec_id, frame, sum(power(m * h / (h + p), 2)) AS harmony, sum(power(m * p / (h + p), 2)) AS perceptr FROM med GROUP BY 1, 2)"""
+# Masked spectra turned back: inverse transform as a join and sum, then overlapped sums.
+_SIGNALS = f"""cx AS (SELECT vec_id, frame, bin, sum(v * w * cos(2 * pi() * bin * k / {FRAMING.size})) AS re,
+    sum(v * w * sin(2 * pi() * bin * k / {FRAMING.size})) AS im
+  FROM (SELECT *, 0.5 - 0.5 * cos(2 * pi() * k / {FRAMING.size}) AS w FROM fr), range(0, {BINS}) AS b(bin) GROUP BY 1, 2, 3),
+back AS (SELECT vec_id, frame, k, 0.5 - 0.5 * cos(2 * pi() * k / {FRAMING.size}) AS w, sum(h / (h + p) * turn) AS hy, sum(p / (h + p) * turn) AS py
+  FROM (SELECT vec_id, frame, k, h, p, CASE WHEN bin IN (0, {BINS - 1}) THEN 1 ELSE 2 END
+      * (re * cos(2 * pi() * bin * k / {FRAMING.size}) + im * sin(2 * pi() * bin * k / {FRAMING.size})) / {FRAMING.size} AS turn
+    FROM med JOIN cx USING (vec_id, frame, bin), range(0, {FRAMING.size}) AS a(k)) GROUP BY 1, 2, 3),
+sig AS (SELECT vec_id, frame * {FRAMING.hop} + k - {FRAMING.size // 2} AS i, sum(hy * w) / sum(w * w) AS h, sum(py * w) / sum(w * w) AS p
+  FROM back GROUP BY 1, 2 HAVING i BETWEEN 0 AND 63),
+hp2 AS (SELECT vec_id, h AS harmony, p AS perceptr FROM sig)"""
 _RMS = "rm AS (SELECT vec_id, frame, sqrt(avg(v * v)) AS r FROM fr GROUP BY 1, 2)"
 _ZCR = f"""zc AS (SELECT vec_id, frame, count_if(flip) / {FRAMING.size}.0 AS z FROM (SELECT vec_id, frame,
   (v < -1e-10) <> lag(v < -1e-10) OVER (PARTITION BY vec_id, frame ORDER BY k) AS flip FROM ed) GROUP BY 1, 2)"""
@@ -204,9 +215,31 @@ def hpss_energy(spark, sf_dir):
     return out.select("clip_id", *_rounded("harmony_mean", "harmony_var", "perceptr_mean", "perceptr_var"))
 
 
+@query(
+    "hpss_signals",
+    f"WITH {_SPEC}, {_HPSS}, {_SIGNALS} SELECT vec_id AS clip_id, i::INTEGER AS i, {_r('h', 'harmonic')}, {_r('p', 'percussive')} FROM sig",
+)
+def hpss_signals(spark, sf_dir):
+    """The two signals, sample by sample; a block holds two of the five frames."""
+    parts = ops.harmonic_percussive(_clips(spark, sf_dir), FRAMING, WIDTH, frames=2)
+    rows = parts.select("clip_id", "at", F.posexplode(F.arrays_zip("harmonic", "percussive")).alias("k", "s"))
+    return rows.select("clip_id", (F.col("at") + F.col("k")).alias("i"), F.col("s.harmonic"), F.col("s.percussive")).select(
+        "clip_id", "i", *_rounded("harmonic", "percussive")
+    )
+
+
+@query(
+    "hpss_moments",
+    f"WITH {_SPEC}, {_HPSS}, {_SIGNALS} SELECT vec_id AS clip_id, {_pair('harmony', 'harmony')}, {_pair('perceptr', 'perceptr')} FROM hp2 GROUP BY 1",
+)
+def hpss_moments(spark, sf_dir):
+    out = ops.signal_moments(ops.harmonic_percussive(_clips(spark, sf_dir), FRAMING, WIDTH, frames=3))
+    return out.select("clip_id", *_rounded("harmony_mean", "harmony_var", "perceptr_mean", "perceptr_var"))
+
+
 _PARTS = {
     "chroma_stft": ("ch", "v"), "rms": ("rm", "r"), "spectral_centroid": ("cen", "c"), "spectral_bandwidth": ("bw", "b"),
-    "rolloff": ("ro", "r"), "zero_crossing_rate": ("zc", "z"), "harmony": ("hp", "harmony"), "perceptr": ("hp", "perceptr"),
+    "rolloff": ("ro", "r"), "zero_crossing_rate": ("zc", "z"), "harmony": ("hp2", "harmony"), "perceptr": ("hp2", "perceptr"),
 }
 _JOINED = " ".join(
     f"JOIN (SELECT vec_id, {_pair(_PARTS[n][1], n)} FROM {_PARTS[n][0]} GROUP BY 1) USING (vec_id)" for n in CLIP_PAIRS
@@ -216,7 +249,7 @@ _PAIR_NAMES = ", ".join(f"{n}_mean, {n}_var" for n in CLIP_PAIRS)
 
 @query(
     "feature_row",
-    f"""WITH {_SHAPE}, {_CHROMA}, {_MEL}, {_MFCC}, {_TEMPO}, {_HPSS}, {_RMS}, {_ZCR}
+    f"""WITH {_SHAPE}, {_CHROMA}, {_MEL}, {_MFCC}, {_TEMPO}, {_HPSS}, {_SIGNALS}, {_RMS}, {_ZCR}
 SELECT CAST(vec_id AS VARCHAR) AS filename, 64::BIGINT AS length, {_PAIR_NAMES}, {_r('tempo', 'tempo')},
   {", ".join(_coefficients())}, '' AS label
 FROM tp {_JOINED} JOIN (SELECT vec_id, {_MF_WIDE} FROM mf GROUP BY 1) USING (vec_id)""",

@@ -178,6 +178,14 @@ def cosine_matrix(bands: int, count: int = 20) -> np.ndarray:
     return out
 
 
+def harmonic_share(mag: np.ndarray, width: int) -> np.ndarray:
+    """Soft mask of the harmonic part of magnitudes (frames x bins); the rest is percussive."""
+    along_time = running_median(mag, width) ** 2
+    along_freq = running_median(mag.T, width).T ** 2
+    both = along_time + along_freq
+    return np.divide(along_time, both, out=np.full_like(both, 0.5), where=both > 0)
+
+
 def running_median(x: np.ndarray, width: int) -> np.ndarray:
     """Median along the first axis over ``width`` rows, fewer at the ends."""
     half, n = width // 2, len(x)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -126,10 +127,7 @@ def add_parts(spec: DataFrame, width: int = 31) -> DataFrame:
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("frame")
         mag = np.stack(pdf["mag"].to_numpy())
-        along_time = signal.running_median(mag, width) ** 2
-        along_freq = signal.running_median(mag.T, width).T ** 2
-        both = along_time + along_freq
-        share = np.divide(along_time, both, out=np.full_like(both, 0.5), where=both > 0)
+        share = signal.harmonic_share(mag, width)
         return pdf.drop(columns="mag").assign(
             harmony=((share * mag) ** 2).sum(axis=1), perceptr=(((1 - share) * mag) ** 2).sum(axis=1)
         )
@@ -137,6 +135,98 @@ def add_parts(spec: DataFrame, width: int = 31) -> DataFrame:
     return spec.groupBy("clip_id").applyInPandas(split, schema)
 
 
+def clip_blocks(clips: DataFrame, framing: Framing, frames: int, before: int, after: int) -> DataFrame:
+    """(clip_id, length, total, own, low, high, at, x): a clip in blocks of ``frames`` frames with margins.
+
+    A block owns the frames from ``own`` on; x are the samples, from ``at`` on, that its
+    frames from ``low`` to ``high`` (exclusive) see: its own, ``before`` earlier and
+    ``after`` later ones.  ``total`` counts the clip's frames.
+    """
+    pad = framing.size // 2 if framing.center else 0
+    n = F.size("samples")
+    total = F.greatest(F.floor((n + 2 * pad - framing.size) / framing.hop).cast("int") + 1, F.lit(0))
+
+    def block(own: Column) -> Column:
+        low, high = F.greatest(own - before, F.lit(0)), F.least(own + frames + after, F.col("total"))
+        at = F.greatest(low * framing.hop - pad, F.lit(0))
+        end = F.least((high - 1) * framing.hop + framing.size - pad, F.col("length"))
+        x = F.slice(F.col("samples").cast("array<double>"), at + 1, F.greatest(end - at, F.lit(0)))
+        return F.struct(own.alias("own"), low.alias("low"), high.alias("high"), at.alias("at"), x.alias("x"))
+
+    rows = clips.select("clip_id", "samples", n.alias("length"), total.alias("total")).filter("total > 0")
+    starts = F.sequence(F.lit(0), F.col("total") - 1, F.lit(frames))
+    return rows.select("clip_id", "length", "total", F.explode(F.transform(starts, block)).alias("b")).select(
+        "clip_id", "length", "total", "b.*"
+    )
+
+
+def _overlapped(frames: np.ndarray, hop: int) -> np.ndarray:
+    """Frames added up at their places."""
+    out = np.zeros((len(frames) - 1) * hop + frames.shape[1])
+    for i, frame in enumerate(frames):
+        out[i * hop : i * hop + len(frame)] += frame
+    return out
+
+
+def harmonic_percussive(clips: DataFrame, framing: Framing, width: int = 31, frames: int = 256) -> DataFrame:
+    """(clip_id, at, harmonic, percussive): the two signals of each clip, in blocks of samples from ``at`` on.
+
+    Complex spectra are masked by moving medians along time and along frequency and
+    turned back: inverse transform, window, overlapped sum over the sum of squared
+    windows.  Blocks are worked on apart, with margins that hold every frame their
+    samples need, so a clip of any length is exact and takes bounded memory; no frame
+    is exchanged.
+    """
+    size, hop = framing.size, framing.hop
+    pad, half = (size // 2 if framing.center else 0), width // 2
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / size)
+    cut = clip_blocks(clips, framing, frames, half + -(-size // hop) - 1, half)
+
+    def parts(length, total, own, low, high, at, x):
+        padded = np.zeros((high - low - 1) * hop + size)
+        skip = at - (low * hop - pad)
+        padded[skip : skip + len(x)] = x
+        spectra = np.fft.rfft(np.lib.stride_tricks.sliding_window_view(padded, size)[::hop] * window, axis=1)
+        share = signal.harmonic_share(np.abs(spectra), width)
+        weight = _overlapped(np.broadcast_to(window**2, (high - low, size)), hop)
+        first = max(own * hop, pad)
+        last = length + pad if own + frames >= total else min((own + frames) * hop, length + pad)
+        here = slice(first - low * hop, last - low * hop)
+        for mask in (share, 1 - share):
+            turned = _overlapped(np.fft.irfft(spectra * mask, n=size, axis=1) * window, hop)[here]
+            w = weight[here]
+            yield np.divide(turned, w, out=turned, where=w > np.finfo(np.float32).tiny)
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for _, length, total, own, low, high, at, x in zip(*batch.columns):
+                numbers = [v.as_py() for v in (length, total, own, low, high, at)]
+                rows.append((max(numbers[2] * hop - pad, 0), *parts(*numbers, x.values.to_numpy(zero_copy_only=False))))
+            doubles = pa.list_(pa.float64())
+            columns = [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], doubles) for i in (1, 2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["clip_id", "at", "harmonic", "percussive"])
+
+    kind = clips.schema["clip_id"].dataType.simpleString()
+    return cut.mapInArrow(run, f"clip_id {kind}, at int, harmonic array<double>, percussive array<double>")
+
+
+def signal_moments(parts: DataFrame) -> DataFrame:
+    """Mean and variance of both signals per clip: sums per block, then merged."""
+    sums = [F.sum(F.size("harmonic")).alias("n")]
+    for name in ("harmonic", "percussive"):
+        sums += [
+            F.sum(signal.total(F.col(name))).alias(f"{name}1"),
+            F.sum(F.aggregate(name, F.lit(0.0), lambda acc, v: acc + v * v)).alias(f"{name}2"),
+        ]
+    rows = parts.groupBy("clip_id").agg(*sums)
+    out = ["clip_id"]
+    for name, into in (("harmonic", "harmony"), ("percussive", "perceptr")):
+        mean, square = (F.coalesce(F.try_divide(F.col(f"{name}{i}"), F.col("n")), F.lit(0.0)) for i in (1, 2))
+        out += [mean.alias(f"{into}_mean"), F.greatest(square - mean * mean, F.lit(0.0)).alias(f"{into}_var")]
+    return rows.select(*out)
+
+
 def tempo_of(onsets: Column, sr: Column, hop: int, spread: float = 1.0, longest: float = 8.0) -> Column:
     """Tempo of an onset array: autocorrelation weighted towards the start tempo.
 
@@ -160,8 +250,8 @@ def tempo_of(onsets: Column, sr: Column, hop: int, spread: float = 1.0, longest:
 
 
 def summarise(frames: DataFrame, hop: int) -> DataFrame:
-    """One row per clip with all 58 values that the frame columns give."""
-    scalars = ["rms", "spectral_centroid", "spectral_bandwidth", "rolloff", "zero_crossing_rate", "harmony", "perceptr"]
+    """One row per clip with the values that the frame columns give."""
+    scalars = ["rms", "spectral_centroid", "spectral_bandwidth", "rolloff", "zero_crossing_rate"]
     aggs = [F.max("length").alias("length"), F.max("sr").alias("__sr")]
     for name in scalars:
         aggs += mean_var(F.col(name), name)
@@ -197,14 +287,15 @@ def feature_rows(
 ) -> DataFrame:
     """Wide feature row per clip (clip_id, sr, samples), in the fixed header order.
 
-    Two exchanges: the frames by clip, then one partial summary per clip.
+    Exchanges: the frames' levels by clip, then partial summaries and the moments of
+    the harmonic and percussive signals, each a row per clip; spectra are not exchanged.
     """
     rows = clips
     if duration is not None:
         rows = rows.withColumn("samples", signal.cut(F.col("samples"), F.col("sr"), duration))
     spec = spectral_shape(spectra(rows, framing), framing)
     levels = add_mel(chroma_moments(add_chroma(spec, framing)), framing, bands)
-    full = add_mfcc(add_parts(add_neighbours(by_clip(levels), bands), width), bands)
-    out = summarise(full, framing.hop)
+    full = add_mfcc(add_neighbours(by_clip(levels.drop("mag")), bands), bands)
+    out = summarise(full, framing.hop).join(signal_moments(harmonic_percussive(rows, framing, width)), "clip_id")
     out = out.withColumn("filename", F.col("clip_id").cast("string")).withColumn("label", F.lit(label))
     return out.select(*FEATURE_HEADER)
