@@ -9,7 +9,7 @@ bytes, a phrase by the hashes of its words.
 2. Vertical partitioning: prefixes of suffixes are grouped so that a group's suffixes
    fit the memory budget.  A prefix is one word; words too frequent for that are
    extended by the next word, and those pairs that still are, by the third.  Prefixes
-   lie in hash cells, neighbouring cells form a group.  Only cells and the prefixes
+   lie in hash cells, neighbouring cells form a group.  Only the cells and the words
    over budget are known to all tasks, both bounded by corpus size over budget.
 3. Each group builds its suffix subtree, truncated at `longest` words, on its own: the
    suffixes are sorted, a node is a run of equal prefixes, and its count is the total
@@ -41,7 +41,7 @@ from chartloom.llm.graph import lookup
 LEAST, LONGEST, FIRST, COVER = 10, 3, 2000, 50
 BUDGET = 2_000_000  # suffixes per group, at most
 SMALLEST = 20_000  # and no fewer than these
-CHUNK = 2_000_000  # words whose equal suffixes are merged before they travel
+CHUNK = 1_000_000  # words whose equal suffixes are merged before they travel
 FILTER_BITS = 1 << 26
 UNKNOWN = "und"
 
@@ -202,31 +202,56 @@ def has_bit(table: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 class _Partitioning:
-    """Group of each suffix; words and pairs over budget are extended."""
+    """Group of each suffix; words over budget and pairs of cells over budget are extended."""
 
-    def __init__(self, heavy_words: np.ndarray, heavy_pairs: np.ndarray, cells: np.ndarray):
-        self.heavy_words, self.heavy_pairs, self.cells = heavy_words, heavy_pairs, cells
-
-    def prefix(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-        out = mix(a)
-        long = np.isin(a, self.heavy_words)
-        if long.any():
-            pair = _extended(a[long], b[long])
-            longer = np.isin(pair, self.heavy_pairs)
-            out[long] = np.where(longer, _extended(pair, c[long]), pair)
-        return out
+    def __init__(self, heavy_words: np.ndarray, heavy_cells: np.ndarray, groups: np.ndarray):
+        self.heavy_words, self.heavy_cells, self.groups = heavy_words, heavy_cells, groups
 
     def spread(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.isin(_extended(a, b), self.heavy_pairs) & np.isin(a, self.heavy_words)
+        """Whether suffixes that begin with the pair go by their third word."""
+        return np.isin(a, self.heavy_words) & self.heavy_cells[_cell(_extended(a, b), len(self.groups))]
 
     def of(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-        return self.cells[_cell(self.prefix(a, b, c), len(self.cells))]
+        prefix = mix(a)
+        long = np.flatnonzero(np.isin(a, self.heavy_words))
+        if len(long):
+            pair = _extended(a[long], b[long])
+            longer = self.heavy_cells[_cell(pair, len(self.groups))]
+            prefix[long] = np.where(longer, _extended(pair, c[long]), pair)
+        return self.groups[_cell(prefix, len(self.groups))]
 
 
 def _cell(prefix: np.ndarray, cells: int) -> np.ndarray:
     return (prefix % np.uint64(cells)).astype(np.int64)
 
 
+def _cell_sums(rows: DataFrame, cells_of, cells: int, page: int = 4096) -> np.ndarray:
+    """Sums per cell; cells_of gives (cells, counts or None) per batch.  Tasks send whole pages of sums."""
+
+    def count(batches):
+        sums = np.zeros(cells, np.int64)
+        for cell, n in cells_of(batches):
+            sums += np.bincount(cell, n, cells).astype(np.int64)
+        pages = np.arange(0, cells, page)
+        yield pa.RecordBatch.from_arrays([pa.array(pages), pa.array([sums[p : p + page].tobytes() for p in pages])], ["page", "sums"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums = np.frombuffer(packed, np.int64)
+                total[at] = total[at] + sums if at in total else sums
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int64()), pa.array([s.tobytes() for s in total.values()], pa.binary())], ["page", "sums"]
+        )
+
+    kind = "page bigint, sums binary"
+    out = np.zeros(cells, np.int64)
+    for r in rows.mapInArrow(count, kind).repartition("page").mapInArrow(add, kind).toLocalIterator():
+        out[r["page"] : r["page"] + page] = np.frombuffer(r["sums"], np.int64)
+    return out
+
+
 def grouped_cells(weights: np.ndarray, budget: int) -> np.ndarray:
     """Group of each cell: neighbours together while they fit the budget."""
     out, group, held = np.empty(len(weights), np.int32), 0, 0
@@ -313,43 +338,29 @@ def phrase_counts(docs: DataFrame, words: DataFrame, text: str, lang: str, least
     budget = min(budget, max(total // (4 * tasks), SMALLEST))  # small corpora give work to all tasks
     cells = 1 << max(16, int(16 * total / budget).bit_length())
     half = max(budget // 2, 1)
-    heavy = {r["key"]: r["n"] for r in often.filter(F.col("n") > half).select("key", "n").collect()}  # at most total / half
-    heavy_words = np.array(sorted(heavy), np.int64).view(np.uint64)
+    over = often.filter(F.col("n") > half).select("key").collect()  # at most total / half
+    heavy_words = np.array(sorted(r["key"] for r in over), np.int64).view(np.uint64)
 
-    def pairs(batches):
+    def word_cells(batches):
+        for batch in batches:
+            yield _cell(mix(batch.column(0).to_numpy().view(np.uint64)), cells), batch.column(1).to_numpy()
+
+    def pair_cells(batches):
         reader = _Reader()
-        for (a, b), n in _chunks(batches, reader, 2, frequent.value, chunk):
+        for batch in batches:
+            _, _, key, follows, *_ = reader.words(batch)
+            a, b = suffixes(key, follows, 2, frequent.value)
             of = np.isin(a, heavy_words)
-            yield pa.RecordBatch.from_arrays([pa.array(_extended(a[of], b[of]).view(np.int64)), pa.array(n[of])], ["pair", "n"])
-
-    weights = np.zeros(cells, np.int64)
-    light = often.filter(F.col("n") <= half)
-    tables = [(light.select(F.col("key"), "n"), True)]
-    heavy_pairs = np.empty(0, np.uint64)
-    if heavy:
-        counted = stored(texts.mapInArrow(pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
-        over = counted.filter(F.col("n") > half).collect()  # at most total / half
-        heavy_pairs = np.array(sorted(r["pair"] for r in over), np.int64).view(np.uint64)
-        weights += sum(r["n"] for r in over) // cells + 1  # spread by their third words
-        tables.append((counted.filter(F.col("n") <= half).select(F.col("pair").alias("key"), "n"), False))
-
-    def by_cell(word: bool):
-        def run(batches):
-            sums = np.zeros(cells, np.int64)
-            for batch in batches:
-                key = batch.column(0).to_numpy().view(np.uint64)
-                np.add.at(sums, _cell(mix(key) if word else key, cells), batch.column(1).to_numpy())
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["cell", "n"])
-
-        return run
-
-    for rows, word in tables:
-        summed = rows.mapInArrow(by_cell(word), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-        for r in summed.toLocalIterator():
-            weights[r["cell"]] += r["n"]
+            yield _cell(_extended(a[of], b[of]), cells), None
+
+    weights = _cell_sums(often.filter(F.col("n") <= half).select("key", "n"), word_cells, cells)
+    heavy_cells = np.zeros(cells, bool)
+    if len(heavy_words):
+        pairs = _cell_sums(texts, pair_cells, cells)
+        heavy_cells = pairs > half  # at most total / half; their pairs are spread by the third words
+        weights += np.where(heavy_cells, 0, pairs) + int(pairs[heavy_cells].sum()) // cells + 1
     groups = grouped_cells(weights, budget)
-    route = spark.sparkContext.broadcast(_Partitioning(heavy_words, heavy_pairs, groups))
+    route = spark.sparkContext.broadcast(_Partitioning(heavy_words, heavy_cells, groups))
 
     def send(batches):
         reader = _Reader()
