@@ -60,13 +60,12 @@ def page_links(spark, sf_dir):
     return pages.page_links(_captured(spark, sf_dir), everywhere=True)
 
 
-@query(
-    "html_tables",
-    """SELECT p_partkey AS page_id, 0 AS table_no, 1 AS row_no, p_name AS name, p_brand || ' & ' || p_type AS artist,
+_TABLES = """SELECT p_partkey AS page_id, 0 AS table_no, 1 AS row_no, p_name AS name, p_brand || ' & ' || p_type AS artist,
   CAST(1946 + p_size AS VARCHAR) AS year, CAST(p_size AS VARCHAR) AS place,
-  CASE WHEN p_type <> 'ECONOMY' THEN 'https://en.example.org/wiki/' || p_brand END AS link FROM part""",
-)
-def html_tables(spark, sf_dir):
+  CASE WHEN p_type <> 'ECONOMY' THEN 'https://en.example.org/wiki/' || p_brand END AS link FROM part"""
+
+
+def _chart_pages(spark, sf_dir):
     """One page per part: a heading, a chart with a short row, an entry, and another table."""
     cell = F.when(
         F.col("p_type") != "ECONOMY", F.format_string('"<a href="/wiki/%s">%s</a>"', "p_brand", "p_name")
@@ -78,10 +77,22 @@ def html_tables(spark, sf_dir):
         cell,
         F.format_string("</td><td>%s &amp; <i>%s</i></td></tr><tr><td>1</td><td>short</td></tr></tbody></table>", "p_brand", "p_type"),
     )
-    made = table(spark, sf_dir, "part").select(
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("page_id"), F.lit("https://en.example.org/wiki/Singles").alias("url"), source.alias("html")
     )
-    return pages.chart_rows(made)
+
+
+@query("html_tables", _TABLES)
+def html_tables(spark, sf_dir):
+    return pages.chart_rows(_chart_pages(spark, sf_dir))
+
+
+@query("html_tables_sql", _TABLES)
+def html_tables_sql(spark, sf_dir):
+    """The same rows by the table function, joined laterally in SQL."""
+    pages.register_page_rows(spark)
+    rows = spark.sql("SELECT page_id, url, r.* FROM {made}, LATERAL page_rows(html, 'chart') AS r", made=_chart_pages(spark, sf_dir))
+    return pages.as_entries(rows)
 
 
 def _payloads(spark, sf_dir):

@@ -303,6 +303,15 @@ def json_roundtrip(spark, sf_dir):
     return tables.read_json(spark, path, "conv_id bigint, turn bigint, role string, text string")
 
 
+@query("yaml_roundtrip", "SELECT p_partkey, p_name, p_size, p_retailprice, [p_type] AS kinds FROM part")
+def yaml_roundtrip(spark, sf_dir):
+    """Published records as a list document, read back as state."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice", F.array("p_type").alias("kinds"))
+    path = new_workspace(spark, "yaml")
+    yaml_text.write_yaml(rows.withColumn("ord", F.col("p_partkey")), path, "ord")
+    return yaml_text.read_yaml(spark, path, ", ".join(f"{c} {kind}" for c, kind in rows.dtypes))
+
+
 @query(
     "yaml_rows",
     """SELECT '- p_partkey: ' || p_partkey AS value FROM part UNION ALL SELECT '  p_name: "' || p_name || '"' FROM part

@@ -30,8 +30,9 @@ def stream_enrich(spark, sf_dir):
         text_id("T", "p_partkey").alias("spotify_track_id"),
     )
     links = stage(spark, f"{root}/links", lambda: link_side(link_rows(spark, sf_dir)))
+    audio = stage(spark, f"{root}/audio", lambda: audio_rows(spark, sf_dir))
     out = lookups.attach_struct(
-        songs, audio_rows(spark, sf_dir), "spotify_track_id", ["ord"], F.col("audio_metadata"), "audio_metadata", ["ord"]
+        songs, audio, "spotify_track_id", ["ord"], F.col("audio_metadata"), "audio_metadata", ["ord"]
     )
     out = lookups.attach_links(out, links, joinable_key(track_key(F.col("name"), F.col("artist"))), ["ord"])
     flows.append_to(out, root)

@@ -7,8 +7,10 @@ words filtered, repeats dropped) is column work and joins.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import AnalyzeArgument, AnalyzeResult, udtf
 
 from chartloom.functions import html
 from chartloom.functions.text import AWARD_WORDS, absolute_url, all_digits, has_award_word, strip, title_suffix
@@ -42,10 +44,9 @@ def _titled_rows(root):
         yield (title, *row)
 
 
-def chart_rows(pages: DataFrame) -> DataFrame:
-    """One row per chart entry: name, artist, year, place, link."""
-    fields = "title string, table_no int, row_no int, place string, name string, href string, artist string"
-    return _extract(pages, fields, _titled_rows).select(
+def as_entries(rows: DataFrame) -> DataFrame:
+    """Chart entries of parsed rows: name, artist, year, place, link."""
+    return rows.select(
         "page_id",
         "table_no",
         "row_no",
@@ -57,6 +58,42 @@ def chart_rows(pages: DataFrame) -> DataFrame:
     )
 
 
+def chart_rows(pages: DataFrame) -> DataFrame:
+    """One row per chart entry: name, artist, year, place, link."""
+    return as_entries(_extract(pages, *_cells("chart")))
+
+
+def _cells(kind: str) -> tuple[str, object]:
+    """Row shape and parser of a kind of rows."""
+    shapes = {
+        "chart": ("title string, table_no int, row_no int, place string, name string, href string, artist string", _titled_rows),
+        "blocks": ("layout int, block_no int, text string", html.text_blocks),
+    }
+    if kind not in shapes:
+        raise ValueError(f"kind of rows is one of {sorted(shapes)}")
+    return shapes[kind]
+
+
+class PageRows:
+    """Table function page_rows(html, kind): the rows of one page; the kind is a constant that gives the columns."""
+
+    @staticmethod
+    def analyze(source: AnalyzeArgument, kind: AnalyzeArgument) -> AnalyzeResult:
+        if not kind.isConstantExpression or kind.value is None:
+            raise ValueError("kind of rows must be a constant")
+        kinds = {"int": T.IntegerType(), "string": T.StringType()}  # no session parses schemas where this runs
+        fields = [part.split() for part in _cells(kind.value)[0].split(",")]
+        return AnalyzeResult(T.StructType([T.StructField(name, kinds[of]) for name, of in fields]))
+
+    def eval(self, source: str, kind: str):
+        yield from _cells(kind)[1](html.parse(source))
+
+
+def register_page_rows(spark: SparkSession) -> None:
+    """Make page_rows known to SQL: SELECT ... FROM pages, LATERAL page_rows(html, 'chart')."""
+    spark.udtf.register("page_rows", udtf(PageRows))
+
+
 def _all_links(root):
     return html.list_links(root, everywhere=True)
 
@@ -78,7 +115,7 @@ def year_links(pages: DataFrame) -> DataFrame:
 
 
 def text_blocks(pages: DataFrame) -> DataFrame:
-    return _extract(pages, "layout int, block_no int, text string", html.text_blocks).drop("url")
+    return _extract(pages, *_cells("blocks")).drop("url")
 
 
 def distinct_blocks(blocks: DataFrame) -> DataFrame:

@@ -94,21 +94,25 @@ def stage_state(events: DataFrame, key: str, stage: str, stages: list[str]) -> D
     return counts.select(key, reached.alias("stages"), (F.size(reached) == len(stages)).alias("done"))
 
 
-def once_per_key(stream: DataFrame, root: str, key: str) -> None:
-    """Drain the first row of each key into ``root``, exactly once across restarts.
+BUCKETS = 64
 
-    What is published is the state: each batch is reduced to one row per key and
-    anti-joined to the keys of the batches before it.  A batch that runs again
-    leaves its own folder out of that and overwrites it.
+
+def once_per_key(stream: DataFrame, root: str, key: str, buckets: int = BUCKETS) -> None:
+    """Drain the first row of each key into ``root``, exactly once across restarts; NULL is one key.
+
+    What is published is the state, laid out by a hash of the key: a batch is reduced to
+    one row per key and anti-joined to the earlier keys of the buckets it falls in; no
+    other bucket is read.  A batch that runs again leaves its own folder out of that and
+    overwrites it.
     """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
     def keep(rows: DataFrame, batch: int) -> None:
-        new = rows.dropDuplicates([key])
-        if batch:
-            earlier = [f"{root}/data/batch={b}" for b in range(batch)]
-            before = rows.sparkSession.read.parquet(*earlier).select(key).distinct()
-            new = new.join(before, key, "left_anti").select(*rows.columns)
-        new.write.mode("overwrite").parquet(f"{root}/data/batch={batch}")
+        new = rows.dropDuplicates([key]).withColumn("bucket", bucket)
+        before = keys_before(rows, root, key, batch, [r["b"] for r in rows.select(bucket.alias("b")).distinct().collect()])
+        if before is not None:
+            new = new.join(before, new[key].eqNullSafe(before["__key"]), "left_anti")
+        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/batch={batch}")
 
     query = (
         stream.writeStream.foreachBatch(keep)
@@ -119,5 +123,14 @@ def once_per_key(stream: DataFrame, root: str, key: str) -> None:
     query.awaitTermination()
 
 
+def keys_before(rows: DataFrame, root: str, key: str, batch: int, touched: list[int]) -> DataFrame | None:
+    """Distinct keys that earlier batches published in the touched buckets; None before the first."""
+    if not batch:
+        return None
+    shape = f"`{key}` {rows.schema[key].dataType.simpleString()}, batch int, bucket int"
+    known = rows.sparkSession.read.schema(shape).parquet(f"{root}/data")
+    return known.filter((F.col("batch") < batch) & F.col("bucket").isin(touched)).select(F.col(key).alias("__key")).distinct()
+
+
 def read_once(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/data").drop("batch")
+    return spark.read.parquet(f"{root}/data").drop("batch", "bucket")

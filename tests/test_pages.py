@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from chartloom.functions import html
@@ -128,3 +130,15 @@ def test_embedded_json(spark):
     df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(sources)], "i int, s string")
     got = df.select("i", F.try_variant_get(embedded_json(F.col("s")), "$.k", "int").alias("k")).orderBy("i").collect()
     assert [r.k for r in got][0] == 1 and [r.k for r in got][2:] == [k for _, k in sources][2:]
+
+
+def test_page_rows_in_sql(spark):
+    """The kind of rows gives the columns; pages without rows and NULL pages give none."""
+    pages.register_page_rows(spark)
+    chart = '<h1 id="firstHeading">Singles of 1999</h1><table class="wikitable sortable"><tbody><tr><td>1<td>"A"<td>B</tr></tbody></table>'
+    made = spark.createDataFrame([(1, chart), (2, "<p>none</p>"), (3, None)], "page_id int, html string")
+    rows = spark.sql("SELECT page_id, r.* FROM {made}, LATERAL page_rows(html, 'chart') AS r", made=made)
+    assert [(r.page_id, r.title, r.name, r.artist) for r in rows.collect()] == [(1, "Singles of 1999", "A", "B")]
+    assert spark.sql("SELECT r.* FROM {made}, LATERAL page_rows(html, 'blocks') AS r", made=made).columns == ["layout", "block_no", "text"]
+    with pytest.raises(Exception, match="kind of rows"):
+        spark.sql("SELECT r.* FROM {made}, LATERAL page_rows(html, 'other') AS r", made=made).collect()

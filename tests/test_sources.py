@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from chartloom.schemas import require, with_columns
 
@@ -145,6 +146,44 @@ def test_yaml_document(spark):
         assert g["comments"] == [{"id": t, "inner": {"a": i}, "tags": [t]}, {"id": "z", "inner": None, "tags": []}]
 
 
+def test_yaml_is_read_back(spark):
+    """What is written comes back, strings, numbers, nested lists and NULLs; from one file in several tasks."""
+    shape = (
+        "name string, x double, flag boolean, lyrics struct<text:string,n:bigint>, awards array<string>,"
+        " comments array<struct<id:string,inner:struct<a:int>,tags:array<string>>>, none string, empty array<string>, n int"
+    )
+    floats = [1.5, 1e20, 1e-9, float("inf"), -2.0, None]
+    rows = [
+        (t, floats[i % len(floats)], i % 2 == 0, (t, i) if i % 3 else None, [t, "b"] if i % 4 else None,
+         [(t, (i,), [t, "- x: y"]), ("z", None, []), (None, (None,), None)], None, [], i)
+        for i, t in enumerate([*NASTY, "\n- name: trap\n  n: 3", "  n: 5", "[]", "~", "it's"])
+    ]
+    df = spark.createDataFrame(rows, shape)
+    path = new_workspace(spark, "yaml")
+    yaml_text.write_yaml(df.withColumn("ord", F.col("n")), path, "ord", shards=1)
+    got = {r.n: r for r in yaml_text.read_yaml(spark, path, f"{shape}, absent array<int>").collect()}
+    want = {r.n: r for r in df.collect()}
+    assert len(got) == len(rows)
+    for n, r in want.items():
+        assert got[n].absent is None and tuple(got[n])[:-1] == tuple(r)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        again = yaml_text.read_yaml(spark, path, shape)
+        assert again.rdd.getNumPartitions() > 3 and sorted(r.n for r in again.collect()) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_plain_yaml_is_read(spark, tmp_path):
+    (tmp_path / "a.yaml").write_text("- name: A song\n  tags:\n  - one\n  - 'it''s'\n  n: 4\n- n: 5\n  name: ~\n  tags: []\n")
+    (tmp_path / "none.yaml").write_text("[]\n")
+    shape = "name string, n int, tags array<string>"
+    assert [tuple(r) for r in yaml_text.read_yaml(spark, str(tmp_path / "a.yaml"), shape).collect()] == [
+        ("A song", 4, ["one", "it's"]), (None, 5, [])
+    ]
+    assert yaml_text.read_yaml(spark, str(tmp_path / "none.yaml"), shape).count() == 0
+
+
 def test_schema_checks(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert require(df, "a") is df

@@ -70,3 +70,28 @@ def test_newest_row_wins_over_batches_out_of_order(spark):
         write(spark, folder, batch, [row], EVENTS)
         flows.changes_to(flows.file_stream(spark, folder, "*.parquet"), root, ["user_id"], order="n")
     assert [r.n for r in flows.read_changes(spark, root, ["user_id"], order="n").collect()] == [9]
+
+
+def test_once_per_key_reads_only_the_buckets_it_needs(spark):
+    """Several files out of order, NULL keys, restarts; a batch reads no other bucket."""
+    folder, root = new_workspace(spark, "in"), new_workspace(spark, "out")
+    shape = "k string, n int"
+
+    def run():
+        flows.once_per_key(flows.file_stream(spark, folder, "*.parquet", files_per_batch=1), root, "k", buckets=8)
+        return sorted(((r.k, r.n) for r in flows.read_once(spark, root).collect()), key=str)
+
+    write(spark, folder, 0, [(f"k{i}", i) for i in range(40)] + [(None, -1), (None, -1)], shape)
+    first = run()
+    assert len(first) == 41 and first.count((None, -1)) == 1
+    for n in (100, 200):
+        write(spark, folder, n, [("k3", n), (None, n), ("k3", n)], shape)
+    write(spark, folder, 300, [("new", 300)], shape)
+    assert run() == sorted([*first, ("new", 300)], key=str)
+    assert run() == sorted([*first, ("new", 300)], key=str)
+    rows = spark.createDataFrame([("k3", 1)], shape)
+    touched = [r[0] for r in rows.selectExpr("CAST(pmod(xxhash64(k), 8) AS INT)").collect()]
+    before = flows.keys_before(rows, root, "k", 9, touched)
+    text = before._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and "bucket#" in text.split("PartitionFilters")[1]
+    assert {r["__key"] for r in before.collect()} < {f"k{i}" for i in range(40)} | {None, "new"}
