@@ -7,14 +7,27 @@ joined to those of all documents.  Each hit fixes how item and document line up
 and an overlap counts where a stretch of `window` item words (the whole item, if
 it is shorter) agrees in at least `share` of its places.
 
+Masks depend on the item's length, so that every allowed set of substitutions leaves
+some mask untouched: from `LONG` words on the three masks below, for shorter items
+all masks that leave out as many blocks of the item as words may differ.  Items of
+fewer than `RUN` words, which allow no substitution and stand in ordinary prose, are
+found only as whole texts, by an equality join.
+
+All masks begin with two ones.  A bit table of fixed size holds the neighbouring words
+of all items; places whose words it lacks are not hashed (a false hit costs work, not
+truth).  Texts that are hit are hashed once more for the comparison, each once.
+
 Texts are known by fingerprint, so copies are compared once and NULL ids do no
-harm.  NULL and empty texts overlap nothing.  Items shorter than the shortest
-mask have no seeds and are never found.  Items of equal text are compared once
-and each gets its row.
+harm.  NULL and empty texts and items overlap nothing.  Items of equal text are
+compared once and each gets its row.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,18 +38,36 @@ from chartloom.llm.graph import attach, bounded
 MASKS = ("11010111", "111001011", "1101100101")
 WINDOW = 13
 SHARE = 0.8
+LONG, RUN = 12, 5
+PAIR_BITS = 1 << 18
 
 
-def seeds(hashes: Column, masks: tuple[str, ...] = MASKS) -> Column:
-    """Seed hashes of all places, mask after mask; places past the end hash fewer words."""
+def short_masks(words: int, share: float = SHARE) -> tuple[str, ...]:
+    """Masks for items of so many words: blocks of the item, as many left out as words may differ."""
+    free = words - math.ceil(share * words)
+    blocks = min(free + 2, words // 2)
+    edges = [round(words * k / blocks) for k in range(blocks + 1)]
+    out = []
+    for gone in itertools.combinations(range(blocks), min(free, blocks - 1)):
+        mask = "".join(("0" if k in gone else "1") * (edges[k + 1] - edges[k]) for k in range(blocks))
+        out.append(mask.strip("0"))
+    return tuple(dict.fromkeys(out))
 
-    def of(k: int, mask: str) -> Column:
-        taken = [j for j, bit in enumerate(mask) if bit == "1"]
-        return F.transform(
-            hashes, lambda first, i: F.xxhash64(F.lit(k), first, *(F.get(hashes, i + j) for j in taken[1:]))
-        )
 
-    return F.flatten(F.array(*(of(k, mask) for k, mask in enumerate(masks))))
+def masks_by_length(masks: tuple[str, ...] = MASKS, share: float = SHARE) -> dict[int, tuple[str, ...]]:
+    """Masks of items by their words; LONG stands for all longer ones."""
+    return {n: short_masks(n, share) for n in range(RUN, LONG)} | {LONG: masks}
+
+
+def _seed(hashes: Column, at: Column, mask: str) -> Column:
+    """Hash of the words under a mask's ones, and of the mask; places past the end hash fewer words."""
+    taken = [j for j, bit in enumerate(mask) if bit == "1"]
+    return F.xxhash64(F.lit(mask), *(F.get(hashes, at + j) for j in taken))
+
+
+def _whole(hashes: Column) -> Column:
+    """Seed of a text of fewer than RUN words."""
+    return F.xxhash64(F.lit("whole"), F.size(hashes), hashes)
 
 
 def item_table(items: DataFrame, item_text: str = "text", item_id: str = "item_id") -> tuple[DataFrame, DataFrame]:
@@ -49,19 +80,62 @@ def item_table(items: DataFrame, item_text: str = "text", item_id: str = "item_i
     )
 
 
-def item_seeds(texts: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
-    """(seed, item, at) of each run that a mask covers wholly."""
-    spans = F.array(*(F.lit(len(m)) for m in masks))
-    placed = texts.select("item", F.size("b").alias("n"), F.posexplode(seeds(F.col("b"), masks)).alias("p", "seed"))
-    at, span = F.col("p") % F.col("n"), F.get(spans, (F.col("p") / F.col("n")).cast("int"))
-    return placed.filter(at + span <= F.col("n")).select("seed", "item", at.alias("at"))
+def item_seeds(texts: DataFrame, masks: tuple[str, ...] = MASKS, share: float = SHARE) -> DataFrame:
+    """(seed, item, at) of each run of an item that one of its masks covers wholly."""
+    n, b = F.size("b"), F.col("b")
+    parts = [texts.filter(n < RUN).select(_whole(b).alias("seed"), "item", F.lit(0).alias("at"))]
+    for length, own in masks_by_length(masks, share).items():
+        some = texts.filter(n >= LONG if length == LONG else n == length)
+        for mask in own:
+            starts = F.sequence(F.lit(0), n - len(mask))
+            placed = some.filter(n >= len(mask)).select("item", "b", F.explode(starts).alias("at"))
+            parts.append(placed.select(_seed(F.col("b"), F.col("at"), mask).alias("seed"), "item", "at"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.distinct()
+
+
+def _pair(first: Column, second: Column) -> Column:
+    """A number for two neighbouring words, from their hashes."""
+    return F.shiftleft(first, 1).bitwiseXOR(second).bitwiseAND(F.lit(PAIR_BITS - 1))
+
+
+def pair_bits(texts: DataFrame) -> Column:
+    """Bits of the neighbouring words of all items, as a constant array of 64-bit numbers."""
+    page = 32768
+    pairs = texts.select(F.explode(F.zip_with(F.slice("b", F.lit(1), F.size("b") - 1), F.slice("b", F.lit(2), F.size("b") - 1), _pair)).alias("p"))
+    pages = pairs.groupBy(F.floor(F.col("p") / page).alias("page")).agg(F.expr(f"bitmap_construct_agg(p % {page})").alias("bits"))
+    out = np.zeros(PAIR_BITS // 8, np.uint8)
+    for r in pages.collect():
+        out[r["page"] * page // 8 : (r["page"] + 1) * page // 8] = np.frombuffer(r["bits"], np.uint8)
+    return F.split(F.lit(",".join(map(str, out.view("<i8").tolist()))), ",").cast("array<bigint>")
+
+
+def seeds(hashes: Column, bits: Column, masks: list[str]) -> Column:
+    """Structs (at, seed) of the places whose neighbouring words an item has, mask after mask."""
+
+    def here(first: Column, at: Column) -> Column:
+        pair = _pair(first, F.get(hashes, at + 1))
+        word = F.get(bits, F.shiftright(pair, 6).cast("int"))
+        return F.when(F.getbit(word, pair.bitwiseAND(F.lit(63)).cast("int")) == 1, at)
+
+    def of(places: Column) -> Column:
+        if not masks:
+            return F.array().cast("array<struct<at:int,seed:bigint>>")
+        return F.flatten(
+            F.array(*(F.transform(places, lambda at: F.struct(at.alias("at"), _seed(hashes, at, m).alias("seed"))) for m in masks))
+        )
+
+    short = F.array(F.struct(F.lit(0).alias("at"), _whole(hashes).alias("seed")))
+    return F.when((F.size(hashes) > 0) & (F.size(hashes) < RUN), short).otherwise(let(F.array_compact(F.transform(hashes, here)), of))
 
 
-def diagonals(docs: DataFrame, item_side: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
+def diagonals(docs: DataFrame, item_side: DataFrame, bits: Column, masks: list[str]) -> DataFrame:
     """Distinct (fp, item, diagonal) of all seed hits; docs holds fp and h."""
-    placed = docs.select("fp", F.size("h").alias("n"), F.posexplode(seeds(F.col("h"), masks)).alias("p", "seed"))
-    hits = placed.join(item_side, "seed")
-    return hits.select("fp", "item", ((F.col("p") % F.col("n")) - F.col("at")).alias("diagonal")).distinct()
+    placed = docs.select("fp", F.explode(seeds(F.col("h"), bits, masks)).alias("s")).select("fp", "s.at", "s.seed")
+    hits = placed.join(item_side.withColumnRenamed("at", "item_at"), "seed")
+    return hits.select("fp", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
 
 
 def overlap(doc: Column, item: Column, diagonal: Column, window: int, share: float) -> Column:
@@ -112,15 +186,32 @@ def overlaps(
     """
     texts, ids = item_table(items)
     texts = stored(texts, "items")
-    item_side = item_seeds(texts, masks)
+    lengths = {min(r["n"], LONG) for r in texts.select(F.least(F.size("b"), F.lit(LONG)).alias("n")).distinct().collect()}
+    used = [m for n, own in masks_by_length(masks, share).items() if n in lengths for m in own]
+    item_side = stored(item_seeds(texts, masks, share), "item-seeds")
     whole = whole_text(text)
     hashed = docs.select(fingerprint(whole).alias("fp"), word_hashes(whole).alias("h"))
-    found = stored(diagonals(hashed, bounded(item_side, item_side.count()), masks), "diagonals")
-    lined = bounded(found, found.count()).join(bounded(texts, texts.count()), "item")
+    found = diagonals(hashed, bounded(item_side, item_side.count()), pair_bits(texts), list(dict.fromkeys(used)))
+    found = stored(found, "diagonals")
+    # A text's comparisons are dealt over several rows, so that none holds very many.
+    share_of = F.pmod(F.xxhash64("item", "diagonal"), F.lit(64))
+    lined = (
+        found.join(bounded(texts, texts.count()), "item")
+        .groupBy("fp", share_of.alias("part"))
+        .agg(F.collect_list(F.struct("item", "b", "diagonal")).alias("lines"))
+    )
+    lined = stored(lined, "lined")
+
+    def checked(h: Column) -> Column:
+        return F.transform(
+            "lines", lambda x: F.struct(x["item"].alias("item"), overlap(h, x["b"], x["diagonal"], window, share).alias("o"))
+        )
+
     compared = (
         docs.select(fingerprint(whole).alias("fp"), whole.alias("t"))
-        .join(bounded(lined, found.count()), "fp")
-        .select("fp", "item", overlap(word_hashes(F.col("t")), F.col("b"), F.col("diagonal"), window, share).alias("o"))
+        .join(bounded(lined.drop("part"), lined.count()), "fp")
+        .select("fp", F.explode(let(word_hashes(F.col("t")), checked)).alias("x"))
+        .select("fp", "x.item", "x.o")
         .filter("o IS NOT NULL")
         .groupBy("fp", "item")
         .agg(F.max(F.struct("o.same_words", "o.words", -F.col("o.doc_start"), -F.col("o.item_start"))).alias("o"))
@@ -150,14 +241,27 @@ def report(docs: DataFrame, items: DataFrame, text: str = "text", **options) ->
     return attach(ids, found, "fp").drop("fp")
 
 
-def _seed_sql(table: str, key: str) -> str:
-    parts = []
-    for k, mask in enumerate(MASKS):
-        taken = [j for j, bit in enumerate(mask) if bit == "1"]
-        words = " || ' ' || ".join(f"w[i + {j}]" for j in taken)
-        parts.append(
-            f"SELECT {key}, i, {k} AS m, {words} AS seed FROM {table}, unnest(generate_series(1, len(w) - {len(mask) - 1})) AS u(i)"
-        )
+def _words_sql(mask: str) -> str:
+    return " || ' ' || ".join(f"w[i + {j}]" for j, bit in enumerate(mask) if bit == "1")
+
+
+def _doc_seed_sql() -> str:
+    masks = dict.fromkeys(m for own in masks_by_length().values() for m in own)
+    parts = [
+        f"SELECT doc_id, i, '{m}' AS m, {_words_sql(m)} AS seed FROM doc_words, unnest(generate_series(1, len(w) - {len(m) - 1})) AS u(i)"
+        for m in masks
+    ]
+    return " UNION ALL ".join([*parts, f"SELECT doc_id, 1, 'whole', array_to_string(w, ' ') FROM doc_words WHERE len(w) BETWEEN 1 AND {RUN - 1}"])
+
+
+def _item_seed_sql() -> str:
+    parts = [f"SELECT item_id, 1 AS i, 'whole' AS m, array_to_string(w, ' ') AS seed FROM item_words WHERE len(w) BETWEEN 1 AND {RUN - 1}"]
+    for n, own in masks_by_length().items():
+        having = f"len(w) >= {n}" if n == LONG else f"len(w) = {n}"
+        parts += [
+            f"SELECT item_id, i, '{m}', {_words_sql(m)} FROM item_words, unnest(generate_series(1, len(w) - {len(m) - 1})) AS u(i) WHERE {having}"
+            for m in own
+        ]
     return " UNION ALL ".join(parts)
 
 
@@ -170,8 +274,8 @@ def kept_words_sql(source: str, key: str) -> str:
 
 OVERLAP_SQL = f"""
   item_words AS ({kept_words_sql("benchmark", "item_id")}),
-  doc_seeds AS ({_seed_sql("doc_words", "doc_id")}),
-  item_seeds AS ({_seed_sql("item_words", "item_id")}),
+  doc_seeds AS ({_doc_seed_sql()}),
+  item_seeds AS ({_item_seed_sql()}),
   lined AS (
     SELECT DISTINCT doc_id, item_id, d.i - b.i AS diagonal FROM doc_seeds d JOIN item_seeds b USING (m, seed)),
   agreeing AS (

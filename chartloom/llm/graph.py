@@ -7,19 +7,25 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.common import stored
 
-# Counted sides of at most so many rows (of about 100 bytes) are broadcast, larger ones shuffled.
-BROADCAST_ROWS = 100_000
+# Stored sides of at most so many rows and bytes of files are broadcast, larger ones shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 4 << 20
+
+
+def fits(df: DataFrame, rows: int) -> bool:
+    """Whether a stored side of so many rows may be broadcast; Spark knows the size of its files."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """A broadcast hint where the counted rows allow it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """A broadcast hint where rows and bytes of a stored side allow it."""
+    return F.broadcast(df) if fits(df, rows) else df
 
 
 def attach(rows: DataFrame, found: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """lookup for a stored side, counted first and broadcast if it is small."""
-    n = found.count()
-    return rows.join(F.broadcast(found), key, how) if n <= BROADCAST_ROWS else lookup(rows, found, key, how)
+    small = fits(found, found.count())
+    return rows.join(F.broadcast(found), key, how) if small else lookup(rows, found, key, how)
 
 
 def lookup(rows: DataFrame, found: DataFrame, key: str, how: str = "inner") -> DataFrame:
