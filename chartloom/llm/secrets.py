@@ -3,13 +3,18 @@
 Candidates are long runs of key characters that hold a digit, and whatever is
 assigned to a name such as password or token.  Each gets features: its length and
 spread of characters, transitions between character classes, how much of it
-dictionary words cover, its path, and the words and signs next to it.  The forest
-is fitted on labelled findings; `weak_labels` makes some from the corpus (provider
-formats and assigned random strings against plain numbers and words), with features
-that leave the label's own rule out where they can.
-
-The fit takes at most `train_rows` findings, chosen by hash; the dictionary comes
-from as many long words around them.  Scores cover every candidate of every text.
+dictionary words cover, its path, and the words next to it.  The forest is fitted on
+labelled findings; `weak_label` makes some from the corpus: formats of providers and
+values of mixed signs assigned to a secret's name, against words and numbers; mixed
+values that no name announces have no label and are judged.  What that rule looks at
+(the name, the sign of assignment, the format) is in no feature: the forest judges a
+value by its make, its path and the other words near it.
+
+The fit takes at most `train_rows` findings, chosen by hash; a fifth of the values
+take no part in it and are left for measuring (`held_out_value`).  The dictionary are
+the words of all texts that occur `max(3, texts / DICTIONARY_SHARE)` times, so it has
+at most DICTIONARY_SHARE x (words of a text on average) words, in practice some
+thousands, at any size.  Scores cover every candidate of every text.
 
 NULL texts are empty.  Texts without candidates give no findings.  Repeated rows
 give their findings each.  Without both labels all findings are kept, scored 1.
@@ -19,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import pyarrow as pa
@@ -31,7 +37,8 @@ from chartloom.llm.common import stored, whole_text, words_of
 from chartloom.llm.graph import attach
 
 TRAIN_ROWS = 20_000
-DICTIONARY_ROWS = 5_000
+DICTIONARY_SHARE = 2_000
+NEAR = 8  # hash places of neighbouring words
 MARK = "[SECRET]"
 
 # Names that secrets are assigned to, words near samples.
@@ -40,8 +47,11 @@ DUMMY = ("example", "sample", "dummy", "test", "placeholder", "changeme", "your"
 
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 _ASSIGNED = re.compile(rf"(?i)(?:{NAMES})\s*[:=]\s*[\"']?([^\s\"'=]{{6,}})")
-_NAME = re.compile(rf"(?i)\b(?:{NAMES})")
+_NAME = re.compile(rf"(?i)(?:{NAMES})")
+_IS_NAMED = re.compile(rf"(?i)(?:{NAMES})\s*[:=]\s*[\"']?$")
 _PROVIDER = re.compile(r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,})$")
+# A part is mixed unless it is one word, capitalised or not, or one number.
+_PARTS, _MIXED = re.compile(r"[^A-Za-z0-9]+"), re.compile(r"(?!(?:[A-Z]?[a-z]*|[A-Z]*|[0-9]*)$)")
 _TRIM = "=-_/+.,;:!?*#$%&)('\""
 
 
@@ -93,8 +103,11 @@ def features(text: str, start: int, end: int, path: str, known: frozenset[str])
     kinds = [_kind(c) for c in value]
     moves = Counter(zip(kinds, kinds[1:]))
     before, after = text[max(0, start - 48) : start], text[end : end + 24]
-    line = before.rpartition("\n")[2]
     near = [w.strip(_TRIM).lower() for w in re.split(r"\s+", before)[-4:] + re.split(r"\s+", after)[:3]]
+    near = [w for w in near if w and not _NAME.search(w)]
+    beside = [0.0] * NEAR
+    for w in near:
+        beside[zlib.crc32(w.encode()) % NEAR] = 1.0
     steps = re.split(r"\W+", path.lower())
     return [
         math.log2(n + 1),
@@ -103,22 +116,27 @@ def features(text: str, start: int, end: int, path: str, known: frozenset[str])
         *(moves[a, b] / max(n - 1, 1) for a in range(4) for b in range(4)),
         covered(value, known),
         sum(c in "0123456789abcdefABCDEF" for c in value) / n,
-        float(before[-1:] in "\"'" and bool(before)),
-        float(after[:1] in "\"'" and bool(after)),
-        float(before.rstrip("\"' ")[-1:] in ("=", ":")),
-        float(bool(_NAME.search(line))),
-        float(any(w.startswith(DUMMY) for w in near if w)),
+        *beside,
+        float(any(w.startswith(DUMMY) for w in near)),
         float(any(s in ("test", "tests", "docs", "doc", "examples", "example") for s in steps)),
         float(any(s in ("env", "config", "conf", "secrets", "deploy", "yml", "yaml", "ini") for s in steps)),
     ]
 
 
-def weak_label(text: str, start: int, end: int) -> int:
-    """1: provider format, or a mixed string assigned to a secret's name; 0: the rest."""
-    value, before = text[start:end], text[max(0, start - 32) : start]
-    mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-    named = re.search(rf"(?i)(?:{NAMES})\s*[:=]\s*[\"']?$", before)
-    return int(bool(_PROVIDER.match(value)) or bool(named and mixed and len(value) >= 12))
+def weak_label(text: str, start: int, end: int) -> int | None:
+    """1: a provider's format, or a value of mixed signs assigned to a secret's name; 0: words and numbers; else None."""
+    value = text[start:end]
+    if _PROVIDER.match(value):
+        return 1
+    if value.lower().startswith(DUMMY) or not any(_MIXED.match(part) for part in _PARTS.split(value)):
+        return 0
+    spread = len(value) >= 8 and len(set(value)) >= 6
+    return 1 if spread and _IS_NAMED.search(text[max(0, start - 32) : start]) else None
+
+
+def held_out_value(value: str = "value") -> Column:
+    """A fifth of the values, which the forest is not fitted on."""
+    return F.pmod(F.xxhash64(F.lit("apart"), value), F.lit(5)) == 0
 
 
 def key_of(text: str, path: str | None) -> Column:
@@ -126,12 +144,12 @@ def key_of(text: str, path: str | None) -> Column:
     return F.unhex(F.md5(F.concat_ws("\n", *parts)))
 
 
-def dictionary(docs: DataFrame, text: str = "text", rows: int = DICTIONARY_ROWS) -> list[str]:
-    """Words of letters only in three or more of the sampled texts; at most 20,000."""
-    sample = docs.select(whole_text(text).alias("t")).limit(rows)
-    words = sample.select(F.explode(F.array_distinct(words_of(F.lower("t")))).alias("w"))
-    common = words.filter(F.col("w").rlike(r"^\p{L}{3,12}$")).groupBy("w").count().filter("count >= 3")
-    return sorted(r["w"] for r in common.orderBy(F.desc("count"), "w").limit(20_000).collect())
+def dictionary(docs: DataFrame, text: str = "text", share: int = DICTIONARY_SHARE) -> list[str]:
+    """Lower-case words of three to twelve letters that occur max(3, texts / share) times in all texts."""
+    words = docs.select(F.explode(words_of(F.lower(whole_text(text)))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    least = max(3, -(-docs.count() // share))
+    common = words.filter((F.col("n") >= least) & F.col("w").rlike(r"^\p{L}{3,12}$"))
+    return sorted(r["w"] for r in common.select("w").collect())
 
 
 def findings(docs: DataFrame, text: str = "text", path: str | None = None, known: list[str] = ()) -> DataFrame:
@@ -170,7 +188,7 @@ def findings(docs: DataFrame, text: str = "text", path: str | None = None, known
 def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = 20, depth: int = 6):
     """Forest from distinct labelled findings, both labels alike in weight; None with one label only."""
     sample = stored(
-        labelled.dropDuplicates(["value", "label"]).orderBy(F.xxhash64("value"), "value", "label").limit(train_rows), "labelled"
+        labelled.filter(F.col("label").isNotNull() & ~held_out_value()).dropDuplicates(["value", "label"]).orderBy(F.xxhash64("value"), "value", "label").limit(train_rows), "labelled"
     )
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(counts) < 2:
