@@ -190,7 +190,8 @@ def _list_array(rows: list[np.ndarray]) -> pa.Array:
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", offsets: bool = True) -> DataFrame:
-    """docs with ids, and with starts and ends of each token in code points."""
+    """docs with ids, and with starts and ends of each token in code points; columns of these names are replaced."""
+    docs = docs.drop(*(("ids", "starts", "ends") if offsets else ("ids",)))
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer_json(ranks))
 
     def run(batches):
@@ -207,11 +208,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", offsets
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
-    """encoded with the bytes of the ids.
+    """encoded with the bytes of the ids, `decoded`, which replaces a column of that name.
 
     The bytes are those that the reversed byte table gives; a character split
     over tokens is whole again once their bytes are joined.  NULL ids are empty.
     """
+    encoded = encoded.drop("decoded")
     shown = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         shown[rank] = token

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.llm.common import flat_lists, held_out, whole_text, word_hashes
 
@@ -174,7 +175,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", **options
 
 
 def scored(docs: DataFrame, machine: Machine | float, text: str = "text") -> DataFrame:
-    """docs with a score from 0 to 1."""
+    """docs with a score from 0 to 1; a column of that name is replaced."""
+    docs = docs.drop("score")
     if isinstance(machine, float):
         return docs.withColumn("score", F.lit(machine))
     shared = docs.sparkSession.sparkContext.broadcast(machine)
@@ -187,8 +189,7 @@ def scored(docs: DataFrame, machine: Machine | float, text: str = "text") -> Dat
                 score = shared.value.score(*describe(b.column(len(names)), *flat_lists(b.column(len(names) + 1))))
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(score)], [*names, "score"])
 
-    kept = docs.schema.add("score", "double")
-    return extra.mapInArrow(run, kept)
+    return extra.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -200,4 +201,4 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = TR
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(rows)

@@ -45,14 +45,16 @@ def canonical(url: str | Column) -> Column:
 
 
 def _lower(headers: str) -> Column:
-    return F.coalesce(
-        F.map_from_entries(
-            F.array_distinct(
-                F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(F.trim(e["key"])).alias("key"), e["value"].alias("value")))
-            )
-        ),
-        F.create_map().cast("map<string,string>"),
-    )
+    """Headers by lower-case name; of names that differ in case only, the greatest value counts."""
+
+    def name(e: Column) -> Column:
+        return F.lower(F.trim(e["key"]))
+
+    def value(of: Column) -> Column:
+        return F.array_max(F.transform(F.filter(F.map_entries(headers), lambda e: name(e) == of), lambda e: e["value"]))
+
+    names = F.array_distinct(F.transform(F.map_entries(headers), name))
+    return F.coalesce(F.map_from_arrays(names, F.transform(names, value)), F.create_map().cast("map<string,string>"))
 
 
 def _tag(headers: Column) -> Column:

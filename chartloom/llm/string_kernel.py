@@ -30,6 +30,7 @@ ALPHABET = 64
 LANDMARKS = 128
 ROWS_PER_LANG = 300
 RIDGE = 1e-3
+TRAIN_CHARS = 100_000
 
 
 @dataclass
@@ -83,6 +84,7 @@ def _kernel(present: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     names = sorted(set(langs))
+    landmarks = max(landmarks, 2 * len(names))
     y = np.array([names.index(x) for x in langs])
     turns = [np.flatnonzero(y == k) for k in range(len(names))]
     chosen = [t[i] for i in range(max(map(len, turns))) for t in turns if i < len(t)][:landmarks]
@@ -110,12 +112,14 @@ def train(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge:
     return Model(letters, grams, base, whiten @ np.linalg.solve(inner, features.T @ target), names)
 
 
-def training_rows(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> DataFrame:
+def training_rows(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, longest: int = TRAIN_CHARS) -> DataFrame:
+    """Rows to learn from: per language the first by a hash of the id, without very long texts; a repeated id once."""
     first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.filter(F.col("lang").isNotNull() & ~held_out() & whole_text().rlike(r"\p{L}")).select("doc_id", "lang")
+    ids = docs.filter(F.col("lang").isNotNull() & ~held_out() & whole_text().rlike(r"\p{L}") & (F.length("text") <= longest)).select("doc_id", "lang")
     chosen = ids.withColumn("__n", F.row_number().over(first)).filter(F.col("__n") <= rows_per_lang).select("doc_id").distinct()
-    rows = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL")
-    return rows.join(F.broadcast(chosen), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
+    rows = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & (F.length("text") <= longest))
+    some = rows.join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return some.orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
 
 
 def fit(rows: DataFrame, **options) -> Model | None:
@@ -124,7 +128,8 @@ def fit(rows: DataFrame, **options) -> Model | None:
 
 
 def predicted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score."""
+    """docs with lang_pred and score; columns of these names are replaced."""
+    docs = docs.drop("lang_pred", "score")
     none = docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
     if model is None:
         return none

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from chartloom.llm import factorisation, string_kernel
 from chartloom.llm.queries import QUERIES, load_all
 
@@ -65,3 +67,25 @@ def test_held_out_accuracy(spark):
     zeros = [r.score for r in rows if quality[r.doc_id] == 0]
     better = sum((a > b) + (a == b) / 2 for a in ones for b in zeros)
     assert better >= 0.8 * len(ones) * len(zeros)
+
+
+def test_columns_with_the_names_of_results(make):
+    docs = make(["good words", "bad words", None]).withColumns({"score": F.lit("x"), "lang_pred": F.lit("y")})
+    columns = docs.columns
+    for _ in range(2):  # the caller's schema stays as it is
+        assert factorisation.scored(docs, 0.5).count() == 3
+        assert docs.columns == columns and docs.schema.names == columns
+    rows = docs.selectExpr("text", "CASE WHEN text LIKE 'good%' THEN 1 ELSE 0 END AS label").filter("text IS NOT NULL")
+    machine = factorisation.fit(rows)
+    for _ in range(2):
+        assert dict(factorisation.scored(docs, machine).dtypes)["score"] == "double" and docs.schema.names == columns
+    model = string_kernel.train(["ab cd", "xy zw"] * 3, ["a", "b"] * 3)
+    got = string_kernel.predicted(docs, model).collect()
+    assert len(got) == 3 and {r.lang_pred for r in got} <= {"a", "b", "und"}
+
+
+def test_every_language_has_landmarks():
+    langs = [f"l{i:03d}" for i in range(90)]
+    texts = [f"word{lang} only{lang}" for lang in langs]
+    model = string_kernel.train(texts * 2, langs * 2, landmarks=16)
+    assert len(model.landmarks) == 180
