@@ -68,6 +68,33 @@ def test_bagminhash_links_a_large_group_in_rounds(make):
     assert got == brute_classes(texts)
 
 
+def similar_pairs(texts, least=0.8):
+    """All pairs of different texts at or above the similarity, from an index of shingles."""
+    bags, index, shared = [bag_of(t) for t in texts], collections.defaultdict(list), collections.Counter()
+    for i, bag in enumerate(bags):
+        for shingle in bag:
+            index[shingle].append(i)
+    for shingle, places in index.items():
+        for i, j in itertools.combinations(places, 2):
+            shared[i, j] += min(bags[i][shingle], bags[j][shingle])
+    total = [sum(b.values()) for b in bags]
+    return [(i, j) for (i, j), n in shared.items() if n >= least * (total[i] + total[j] - n)]
+
+
+def test_bagminhash_recall_against_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    first = {}
+    for r in rows:
+        first.setdefault(r.text or "", r.doc_id)
+    texts = list(first)
+    pairs = similar_pairs(texts)
+    label = {r.doc_id: r.class_id for r in bagminhash.class_ids(docs).collect()}
+    together = sum(label[first[texts[i]]] == label[first[texts[j]]] for i, j in pairs)
+    assert pairs and together == len(pairs)
+    assert all(label[r.doc_id] == label[first[r.text or ""]] for r in rows)
+
+
 def test_bagminhash_keeps_one_of_each_class(make, near_texts, odd_texts):
     docs = make(near_texts)
     kept = bagminhash.keep_one(docs)
@@ -110,6 +137,26 @@ def test_decontamination_matches_sql(spark, make):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 3, 4, 5]
 
 
+@pytest.mark.parametrize("n", [5, 7, 8, 9, 10, 11, 12, 13])
+def test_decontamination_finds_every_allowed_substitution(spark, make, n):
+    """All sets of places that may differ, for short items too; one more change hides the item."""
+    item = words(300 + n, n)
+    free = n - -(-8 * n // 10)
+    around = words(77, 30)
+    gone = [g for k in (free, free + 1) for g in itertools.combinations(range(n), k)]
+    texts = [" ".join(around[:11] + [f"other{i}" if i in g else w for i, w in enumerate(item)] + around[11:]) for g in gone]
+    got = {r.doc_id for r in decontaminate.report(make(texts), benchmark_of(spark, [" ".join(item)])).collect()}
+    assert got == {i for i, g in enumerate(gone) if len(g) <= free}
+
+
+def test_decontamination_of_very_short_items(spark, make):
+    """Whole texts only, whatever the white space; and as they are a run of prose they are left alone."""
+    texts = ["yes", " yes\n", "oh yes", "one two three four", "one  two three four", "one two three four five", "Yes", None, ""]
+    items = ["yes", "one two three four", "", None]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.report(make(texts), benchmark_of(spark, items)).collect()}
+    assert got == {(0, 0), (1, 0), (3, 1), (4, 1)}
+
+
 def test_decontamination_of_empty_and_odd_tables(spark, make, odd_texts):
     docs, bench = make(odd_texts), benchmark_of(spark, ["a " * 20])
     assert decontaminate.clean(docs, bench.limit(0)).count() == len(odd_texts)
@@ -188,6 +235,37 @@ def test_revisits_match_a_plain_search(spark):
     assert revisits.with_payload(revisits.resolved(df), df, "extra").count() == len(want)
 
 
+def test_revisit_header_names_that_differ_in_case(spark):
+    rows = [(1, "http://a/x", 1, 200, {"ETag": "1", "etag": "2", " Etag": None}), (2, "http://a/x", 2, 304, {"ETAG": "2"})]
+    df = spark.createDataFrame(rows, "record_id long, url string, time long, status int, headers map<string,string>")
+    (r,) = revisits.resolved(df).collect()
+    assert r.state == "confirmed" and r.response_id == 1 and r.headers["etag"] == "2"
+
+
+def test_passages_across_gaps(make):
+    """Two shared passages stay two, however many other words lie between them."""
+    first, second = words(500, 200), words(501, 200)
+    for gap, other in ((10, 10), (28, 28), (100, 160), (300, 300), (2000, 1500)):
+        a = first + words(600 + gap, gap) + second
+        b = words(700, 30) + first + words(800 + gap, other) + second
+        found = passages.repeated(make([" ".join(a), " ".join(b)])).collect()
+        covered = {i for r in found for i in range(r.start, r.end)} if found and found[0].doc_id == 0 else {i - 30 for r in found for i in range(r.start, r.end)}
+        at = 200 + (gap if found and found[0].doc_id == 0 else other)
+        assert len(covered & set(range(200))) >= 195 and len(covered & set(range(at, at + 200))) >= 195, gap
+
+
+def test_passages_of_runs_with_many_gaps(make):
+    """Runs that are long enough alone, in a chain that agrees too seldom as a whole."""
+    runs = [words(900 + k, 60) for k in range(5)]
+    a, b = [], []
+    for k, run in enumerate(runs):
+        a += run + words(950 + k, 28)
+        b += run + words(980 + k, 28)
+    found = passages.repeated(make([" ".join(a), " ".join(b)])).collect()
+    covered = {i for r in found for i in range(r.start, r.end)}
+    assert sum(len(covered & set(range(88 * k, 88 * k + 60))) for k in range(5)) >= 290
+
+
 def test_revisit_headers_merge_permitted_names(spark):
     rows = [
         (1, "http://a.org", 1, 200, {"ETag": '"v"', "Content-Type": "text/html", "Cache-Control": "old"}, ""),
