@@ -64,6 +64,47 @@ def test_personal_base_spans_match_brute_force(make):
         assert set(base) <= found
 
 
+def card(rng):
+    digits = "4" + "".join(str(rng.randint(0, 9)) for _ in range(14))
+    return next(digits + str(k) for k in range(10) if stands("card", digits + str(k)))
+
+
+def test_personal_finds_disguised_spans(make):
+    """Spans that the base patterns cannot see, learned from disguises of those they see; look-alikes stay."""
+    rng = random.Random(8)
+    name = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    number = lambda n: "".join(str(rng.randint(1, 9)) for _ in range(n))
+    seen = []
+    for i in range(160):
+        seen += [f"write to {name()}@{name()}.org today", f"call +1 {number(3)} {number(3)} {number(4)} now", f"card {card(rng)} was used", f"host 10.{rng.randint(0, 255)}.3.{i % 250} is up"]
+    hidden, plain = [], []
+    for i in range(30):
+        c = card(rng)
+        hidden += [f"{name()} at {name()} dot org", f"{number(3)}-{number(3)}-{number(4)}", ".".join(c[k : k + 4] for k in (0, 4, 8, 12))]
+        wrong = c[:-1] + str((int(c[-1]) + 1) % 10)
+        plain += [".".join(wrong[k : k + 4] for k in (0, 4, 8, 12)), f"1.2.9{number(2)}.4", f"{number(3)}-{number(4)}"]
+    texts = [*seen, *(f"please note {x} for later" for x in hidden), *(f"please note {x} for later" for x in plain)]
+    spans = {r.doc_id: r.spans for r in personal.digests(personal.detect(make(texts))).collect()}
+    got = [spans[len(seen) + i] for i in range(len(hidden))]
+    for kind, k in (("email", 0), ("phone", 1), ("card", 2)):
+        caught = [s.startswith(f"{kind}:12:") for s in got[k::3]]
+        assert sum(caught) >= 0.9 * len(caught), kind
+    assert not any(spans[len(seen) + len(hidden) + i] for i in range(len(plain)))
+
+
+def test_personal_takes_linear_time(make):
+    import time
+
+    spent = []
+    for n in (1_000, 4_000):
+        docs = make([" ".join(f"u{i}@site{i}.org 10.0.{i % 250}.7" for i in range(n))])
+        began = time.perf_counter()
+        (r,) = personal.digests(personal.detect(docs)).collect()
+        spent.append(time.perf_counter() - began)
+        assert r.n_email == n and r.n_ip == n
+    assert spent[1] < 6 * spent[0] + 3
+
+
 def test_personal_redaction_hides_base_spans(make):
     out = personal.redact(make(["write to a.b@c.org or call +1 222 333 4444 now", None, "clean"])).orderBy("doc_id").collect()
     assert "a.b@c.org" not in out[0].text and "333" not in out[0].text
