@@ -39,12 +39,15 @@ def words(c: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(spaced, " +"), lambda w: w != "")))
 
 
-def word_set_ratio(wa: Column, wb: Column) -> Column:
+def word_set_ratio(wa: Column, wb: Column, above: int | None = None) -> Column:
     """Similarity of two results of ``words``, 0 to 100.
 
     With ``s`` the length of the joined common words and ``x``, ``y`` those of
     the two remainders, the three pairings share the prefix of length ``s``, so
-    only the remainders need an LCS.
+    only the remainders need an LCS.  It has no more letters than either remainder has
+    in common with the letters of the other; where even that many could not beat the
+    two other pairings, it is not computed.  With ``above``, scores that cannot pass it
+    may come out lower than they are.
     """
     common = F.array_join(F.array_intersect(wa, wb), " ")
     rest_a = F.array_join(F.array_except(wa, wb), " ")
@@ -56,10 +59,19 @@ def word_set_ratio(wa: Column, wb: Column) -> Column:
     def ratio(distance, total):
         return 100 - 100 * distance / F.nullif(total, F.lit(0))
 
-    both = ratio(x + y - 2 * lcs_length(rest_a, rest_b), whole_a + whole_b)
-    best = F.when(s == 0, both).otherwise(
-        F.greatest(both, ratio(gap + x, s + whole_a), ratio(gap + y, s + whole_b))
-    )
+
+    def shared(one, other):
+        """Letters of a text that the other has at all."""
+        return F.length(one) - F.length(F.call_function("translate", one, other, F.lit("")))
+
+    most = F.least(shared(rest_a, rest_b), shared(rest_b, rest_a))
+    sure = F.when(s == 0, F.lit(0.0)).otherwise(F.greatest(ratio(gap + x, s + whole_a), ratio(gap + y, s + whole_b)))
+    reach = ratio(x + y - 2 * most, whole_a + whole_b)
+    open_ = (x > 0) & (y > 0) & (reach > sure)
+    if above is not None:
+        open_ = open_ & (F.bround(reach, 0) > above)
+    compared = lcs_length(F.when(open_, rest_a), F.when(open_, rest_b))
+    best = F.when(open_, F.greatest(sure, ratio(x + y - 2 * F.coalesce(compared, F.lit(0)), whole_a + whole_b))).otherwise(sure)
     return (
         F.when((F.coalesce(F.size(wa), F.lit(0)) <= 0) | (F.coalesce(F.size(wb), F.lit(0)) <= 0), 0)
         .when((s > 0) & ((x == 0) | (y == 0)), 100)

@@ -37,7 +37,12 @@ def by_clip(frames: DataFrame) -> DataFrame:
 
 
 def array_mean_var(clips: DataFrame, key: str, samples: str) -> DataFrame:
-    return clips.select(key, F.explode(samples).alias("__x")).groupBy(key).agg(*mean_var(F.col("__x").cast("double"), samples))
+    """Mean and population variance of each array, within its row."""
+    x = F.col(samples).cast("array<double>")
+    rows = clips.select(key, x.alias("__x")).filter(F.size("__x") > 0)
+    rows = rows.withColumn(f"{samples}_mean", signal.total(F.col("__x")) / F.size("__x"))
+    apart = F.transform("__x", lambda v: (v - F.col(f"{samples}_mean")) * (v - F.col(f"{samples}_mean")))
+    return rows.select(key, f"{samples}_mean", (signal.total(apart) / F.size("__x")).alias(f"{samples}_var"))
 
 
 def frame_table(clips: DataFrame, framing: Framing) -> DataFrame:

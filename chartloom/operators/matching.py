@@ -73,7 +73,8 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
     the greatest ``ord`` counts (if there is no such column, any one).  Lyrics are
     cleaned before they count; queries with a strict hit are not scored.
 
-    The picks are one aggregate per query, so a query with very many hits merges
+    Artist scores count above the threshold only, so hits that cannot pass it are not
+    compared letter by letter.  The picks are one aggregate per query, so a query with very many hits merges
     map-side.
     """
     asked = queries.join(strict.select("query_ord").distinct(), "query_ord", "left_anti").select("query_ord", words(clean_search(F.col("artist"))).alias("__mine"), F.col("year").alias("__year"))
@@ -81,7 +82,7 @@ def resolve(queries: DataFrame, strict: DataFrame, hits: DataFrame, details: Dat
     songs = hits.filter(F.col("type") == "song").select(
         "query_ord", "pos", "id", "pageviews", F.col("release_date_components.year").alias("__hit_year"), theirs
     ).join(asked, "query_ord")
-    scored = songs.withColumn("artist_score", word_set_ratio(F.col("__mine"), F.col("__theirs"))).withColumn("year_score", year_score(F.col("__hit_year"), F.col("__year")))
+    scored = songs.withColumn("artist_score", word_set_ratio(F.col("__mine"), F.col("__theirs"), ARTIST_THRESHOLD)).withColumn("year_score", year_score(F.col("__hit_year"), F.col("__year")))
     pick = F.struct("id", "artist_score")
     views = F.coalesce(F.col("pageviews"), F.lit(0))
     picks = scored.groupBy("query_ord").agg(

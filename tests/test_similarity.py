@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from chartloom.functions.similarity import _common_length, page_score, token_set_ratio
+from chartloom.functions.similarity import _common_length, page_score, token_set_ratio, word_set_ratio, words
 
 
 def lcs(a, b):
@@ -74,3 +74,17 @@ def test_token_set_ratio_null(value):
 )
 def test_page_score(value, args, score):
     assert value(page_score, *args) == score
+
+
+def test_scores_above_a_floor_are_exact(spark):
+    """With a floor, scores above it are as without; those that cannot pass it stay at or below it."""
+    import random
+
+    rng = random.Random(3)
+    parts = ["small", "ring", "ringo", "red", "blue bolt", "bolts", "a", "widget", "wdget", "x1"]
+    rows = [(" ".join(rng.choices(parts, k=rng.randint(0, 4))), " ".join(rng.choices(parts, k=rng.randint(0, 4)))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", words(F.col("a")).alias("wa"), words(F.col("b")).alias("wb"))
+    out = df.select("a", "b", word_set_ratio(F.col("wa"), F.col("wb")).alias("s"), word_set_ratio(F.col("wa"), F.col("wb"), 70).alias("f"))
+    for r in out.collect():
+        assert r.s == ratio(r.a, r.b)
+        assert r.f == r.s if r.s > 70 else r.f <= r.s
