@@ -190,4 +190,4 @@ def write_back(spark, sf_dir):
         "doc_id", F.when(F.col("toxic") == 0, F.concat(F.lit("quality "), F.col("quality").cast("string"))).alias("source")
     )
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    return lookups.write_back(docs, results, "doc_id", ["source"])
+    return lookups.write_back(docs, results, "doc_id", ["source"], "doc_id")

@@ -251,6 +251,23 @@ def udf_struct(spark, sf_dir):
     return rows.mapInPandas(_split_name, "p_partkey bigint, colour string, thing string")
 
 
+def _word_of(separator: str, place: int):
+    """A batch function with arguments: one word of a text, marked by a number."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, numbers: pd.Series) -> pd.Series:
+        return texts.str.split(separator).str[place] + "/" + numbers.astype("Int64").astype(str)
+
+    return run
+
+
+@query("udf_arguments", "SELECT p_partkey, split_part(p_name, ' ', 2) || '/' || p_size AS marked FROM part")
+def udf_arguments(spark, sf_dir):
+    """A Python batch function of two columns, made with arguments."""
+    parts = table(spark, sf_dir, "part")
+    return parts.select("p_partkey", _word_of(" ", 1)(F.col("p_name"), F.col("p_size")).alias("marked"))
+
+
 @query("slice_rows", "SELECT p_partkey, p_name FROM part WHERE p_partkey >= 20 AND p_partkey < 120")
 def slice_rows(spark, sf_dir):
     return ordering.slice_rows(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey", 20, 100)

@@ -147,12 +147,12 @@ def join_renamed(base: DataFrame, side: DataFrame, key: str, side_key: str, firs
     return joined.select(*first, *[c for c in side.columns if c != side_key and c not in base.columns])
 
 
-def write_back(base: DataFrame, results: DataFrame, row: str, columns: list[str], order: str | None = None) -> DataFrame:
+def write_back(base: DataFrame, results: DataFrame, row: str, columns: list[str], order: str) -> DataFrame:
     """Overwrite columns by row id; a NULL result overwrites too.
 
-    Of several results for a row the last in ``order`` counts, without it any one.
+    Of several results for a row the last in ``order`` counts.
     """
-    one = last_wins(results, row, order) if order else results.dropDuplicates([row])
+    one = last_wins(results, row, order)
     side = one.select(F.col(row).alias("__row"), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__{c}") for c in columns])
     joined = base.join(side, base[row] == side["__row"], "left")
     for c in columns:

@@ -6,6 +6,9 @@ words filtered, repeats dropped) is column work and joins.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +33,18 @@ def _mapper(columns: list[str], rows_of):
     return run
 
 
-def _extract(pages: DataFrame, fields: str, rows_of) -> DataFrame:
+# An attribute value with a character reference could spell a class in another way.
+_SPELT = r"(?i)class\s*=\s*[\"']?[^\"'>]*&"
+
+
+def _extract(pages: DataFrame, fields: str, rows_of, signs: frozenset[str] = frozenset()) -> DataFrame:
+    """Parsed rows of the pages; only those that hold all signs are parsed."""
     columns = [part.split()[0] for part in fields.split(",")]
     kinds = dict(pages.dtypes)
     source = pages.select("page_id", "url", "html")
+    if signs:
+        held = reduce(and_, [F.col("html").contains(sign) for sign in sorted(signs)])
+        source = source.filter(held | F.col("html").rlike(_SPELT))
     schema = f"page_id {kinds['page_id']}, url string, {fields}"
     return source.mapInPandas(_mapper(columns, rows_of), schema)
 
@@ -60,7 +71,7 @@ def as_entries(rows: DataFrame) -> DataFrame:
 
 def chart_rows(pages: DataFrame) -> DataFrame:
     """One row per chart entry: name, artist, year, place, link."""
-    return as_entries(_extract(pages, *_cells("chart")))
+    return as_entries(_extract(pages, *_cells("chart"), html.CHART_CLASSES))
 
 
 def _cells(kind: str) -> tuple[str, object]:
@@ -115,7 +126,7 @@ def year_links(pages: DataFrame) -> DataFrame:
 
 
 def text_blocks(pages: DataFrame) -> DataFrame:
-    return _extract(pages, *_cells("blocks")).drop("url")
+    return _extract(pages, *_cells("blocks"), frozenset({html.CONTENT_CLASS})).drop("url")
 
 
 def distinct_blocks(blocks: DataFrame) -> DataFrame:

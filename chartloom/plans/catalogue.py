@@ -51,4 +51,4 @@ def update_lyrics(songs: DataFrame, strict: DataFrame, hits: DataFrame, details:
     queue = filter_then_limit(songs, "ord", needs_work(F.col("genius_status")), limit=batch)
     asked = queue.select(F.col("ord").alias("query_ord"), "name", "artist", F.col("year").try_cast("int").alias("year"))
     results = resolve(asked, strict, hits, details).withColumnRenamed("query_ord", "ord")
-    return write_back(songs, results, "ord", list(LYRICS))
+    return write_back(songs, results, "ord", list(LYRICS), "ord")

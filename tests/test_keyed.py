@@ -155,9 +155,9 @@ def test_award_side(spark):
 
 def test_write_back(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "row int, v string")
-    results = spark.createDataFrame([(1, None, 5), (3, "z", 6)], "row int, v string, n int")
-    out = lookups.write_back(base, results, "row", ["v", "n"]).orderBy("row").collect()
-    assert [tuple(r) for r in out] == [(1, None, 5), (2, "b", None), (3, "z", 6)]
+    results = spark.createDataFrame([(1, "first", 5), (1, None, 7), (3, "z", 6)], "row int, v string, n int")
+    out = lookups.write_back(base, results, "row", ["v", "n"], "n").orderBy("row").collect()
+    assert [tuple(r) for r in out] == [(1, None, 7), (2, "b", None), (3, "z", 6)]
 
 
 def test_join_renamed(spark):
