@@ -11,9 +11,9 @@ with a probability equal to their weighted Jaccard similarity.
 Only points up to a horizon are drawn, which is doubled for the texts it leaves
 with an empty register.
 
-Registers are cut into bands.  Texts of a bucket are compared with its leaders, not
-with each other; see links.  Comparisons are exact on the multisets.  Links give
-components; equal texts are one node.
+Registers are cut into bands.  Texts of a bucket are compared with its leader, and
+then with each other where that may still join two classes; see links.  Comparisons
+are exact on the multisets.  Links give components; equal texts are one node.
 
 NULL texts are empty; texts without words are copies of each other.  A text of
 fewer than five words is one shingle.  Repeated rows fall into one class.
@@ -23,11 +23,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import flat_lists, lists, mix, shingles, stored, whole_text, word_hashes
-from chartloom.llm.graph import bounded, components, lookup
+from chartloom.llm.graph import bounded, components, lookup, maybe_in
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -192,7 +192,7 @@ def bags(docs: DataFrame, wanted: DataFrame, text: str = "text", size: int = SHI
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["fp", "items"])
 
     texts = docs.select(fingerprint(text).alias("fp"), whole_text(text).alias("t"))
-    chosen = texts.join(wanted, "fp", "left_semi").select("fp", word_hashes("t").alias("h"))
+    chosen = maybe_in(texts, wanted, "fp").join(wanted, "fp", "left_semi").select("fp", word_hashes("t").alias("h"))
     return chosen.mapInArrow(run, "fp binary, items binary").groupBy("fp").agg(F.first("items").alias("items"))
 
 
@@ -244,54 +244,99 @@ def links(
 ) -> DataFrame:
     """(fp, leader, similarity) of texts found similar; fp is fingerprint(text).
 
-    A text is one row with its buckets; it is open until it is linked or has led.  The
-    first leader of a bucket is
-    the text that shares most buckets with others, later ones are open texts, a few
-    at a time.  A leader meets all of its bucket, so an open text meets every other
-    text of its buckets in the end.  A text gathers the leaders of its buckets (no more
-    than bands * leaders_a_round), so a pair that many buckets give comes once.  Pairs
-    that cannot be similar are left out before they are made: both texts have at least
-    the shingles that the shorter lacks, and those that no other text has.
+    The leader of a bucket, the text that shares most buckets with others, meets all of
+    it.  A text gathers the leaders of its buckets, so a pair that many buckets give
+    comes once.  Then two texts of a bucket are compared unless they are in one class
+    already or cannot be similar; see between.  So similar texts that share a bucket are
+    in one component, whoever led it.
     """
     signed = stored(banded(docs, text, size, bands, rows), "bands")
     placed = signed.select("fp", "n", F.explode("keys").alias("key"))
     shared = stored(placed.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"), "buckets")
     met = lookup(placed, shared, "key").groupBy("fp", "n").agg(F.collect_list("key").alias("keys"), (-F.sum("texts")).alias("rank"))
-    texts = stored(met.withColumns({"open": F.lit(True), "u": F.lit(0).cast("long")}), "texts")
+    texts = stored(met, "texts")
     known = stored(bags(docs, texts.select("fp"), text, size), "bags")
-    rounds, slots = [], 1
-    each = ("fp", "rank", "open", "n", "u")
-    while True:
-        placed = texts.select(*each, F.explode("keys").alias("key"))
-        slot = F.pmod(F.xxhash64("fp"), F.lit(slots)).alias("slot")
-        leaders = placed.filter("open").groupBy("key", slot).agg(F.min(F.struct("rank", "fp", "n", "u")).alias("w"))
-        led = stored(leaders.groupBy("key").agg(F.collect_list(F.struct("w.fp", "w.n", "w.u")).alias("leaders")), "leaders")
-        near = lookup(placed.select("fp", "n", "u", "key"), led, "key").groupBy("fp", "n", "u")
-        met = near.agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("leaders"))
-
-        def possible(other: F.Column) -> F.Column:
-            common = F.least(F.col("n") - F.col("u"), other["n"] - other["u"])
-            return (other["fp"] != F.col("fp")) & (common >= similarity * (F.col("n") + other["n"] - common))
-
-        pairs = met.select("fp", F.explode(F.filter("leaders", possible)).alias("l")).select("fp", F.col("l.fp").alias("leader"))
-        found = stored(compared(pairs, known).filter(F.col("similarity") >= similarity), "links")
-        rounds.append(found)
-        done = led.select(F.explode("leaders.fp").alias("fp")).union(found.select("fp")).union(found.select("leader")).distinct()
-        judged = lookup(texts, done.withColumn("done", F.lit(True)), "fp", "left")
-        texts = stored(judged.withColumn("open", F.col("open") & F.col("done").isNull()).drop("done"), "texts")
-        if texts.filter("open").isEmpty():
-            break
-        left = texts.filter("open").select(F.explode("keys").alias("key")).distinct()
-        beside = lookup(texts.select(*each, F.explode("keys").alias("key")), left, "key")
-        texts = stored(beside.groupBy(*each).agg(F.collect_list("key").alias("keys")), "texts")
-        if slots == 1:
-            bound = unshared(known.join(texts.select("fp"), "fp", "left_semi"))
-            bound = stored(bound.filter(F.col("u") <= (1 - similarity) * F.col("n")), "unshared")
-            texts = stored(lookup(texts.drop("n", "u"), bound, "fp").select(*each, "keys"), "texts")
-        slots = leaders_a_round
-    out = rounds[0]
-    for more in rounds[1:]:
-        out = out.union(more)
+    placed = texts.select("fp", "n", "rank", F.explode("keys").alias("key"))
+    led = stored(placed.groupBy("key").agg(F.min(F.struct("rank", "fp", "n")).alias("w")).select("key", F.col("w.fp").alias("leader"), F.col("w.n").alias("m")), "leaders")
+    shorter, longer = F.least("n", "m"), F.greatest("n", "m")
+    pairs = lookup(placed, led, "key").filter((F.col("fp") != F.col("leader")) & (shorter >= similarity * longer)).select("fp", "leader")
+    found = stored(compared(pairs.distinct(), known).filter(F.col("similarity") >= similarity), "links")
+    return found.union(between(texts, led.select("key", "leader"), found, known, similarity, leaders_a_round))
+
+
+def between(
+    texts: DataFrame, led: DataFrame, found: DataFrame, known: DataFrame, similarity: float, leaders_a_round: int
+) -> DataFrame:
+    """(fp, leader, similarity) of similar texts that share a bucket which neither led, and whose classes differ.
+
+    A text hangs on a pivot, the first by rank of itself and the texts linked to it, at a
+    known distance (one less the similarity, a metric).  Members of two pivots are
+    compared only if the distance of the pivots allows for theirs and the pivots are not
+    linked themselves.  Pairs that cannot be similar are left out before they are made:
+    both texts have at least the shingles that the shorter lacks, and those that no other
+    text has.  The first pivots of a bucket meet all later ones, then the next, twice as
+    many each round, so that pairs on disk stay few.
+    """
+    reach, slack = 1 - similarity, 1e-9
+    labels = components(found, "fp", "leader").select(F.col("node").alias("fp"), "label")
+    ranks = texts.select(F.col("fp").alias("pivot"), "rank")
+    both = found.select("fp", F.col("leader").alias("pivot"), "similarity").union(
+        found.select(F.col("leader"), F.col("fp"), "similarity")
+    )
+    each = lookup(both, ranks, "pivot").union(texts.select("fp", F.col("fp").alias("pivot"), F.lit(1.0), "rank"))
+    hung = each.groupBy("fp").agg(F.min(F.struct("rank", "pivot", (1 - F.col("similarity")).alias("d"))).alias("w"))
+    placed = texts.select("fp", "n", F.explode("keys").alias("key"))
+    # A leader has met all of its bucket.
+    rest = lookup(placed, led, "key").filter("fp <> leader").drop("leader")
+    rest = lookup(rest, labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    rest = stored(rest, "rest")
+
+    def mixed(members: DataFrame) -> DataFrame:
+        more = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("key")
+        return lookup(members, more, "key")
+
+    open_ = stored(mixed(rest), "mixed")
+    bound = unshared(known.join(open_.select("fp").distinct(), "fp", "left_semi"))
+    bound = stored(bound.filter(F.col("u") <= reach * F.col("n") + slack).select("fp", (F.col("n") - F.col("u")).alias("c")), "unshared")
+    hung = hung.select("fp", F.col("w.pivot").alias("pivot"), F.col("w.d").alias("d"))
+    open_ = stored(lookup(lookup(mixed(lookup(open_, bound, "fp")), hung, "fp"), texts.select(F.col("fp").alias("pivot"), F.col("n").alias("size")), "pivot"), "open")
+
+    def possible(c, n, m) -> F.Column:
+        """Whether `c` common shingles suffice for texts of n and m, or more, of them."""
+        return c >= similarity * (n + m - c) - slack
+
+    groups = open_.groupBy("key", "label", "pivot", "size").agg(F.max("d").alias("r"), F.max("c").alias("c"), F.min("n").alias("n"))
+    order = Window.partitionBy("key").orderBy("size", "pivot")
+    groups = stored(groups.withColumn("at", F.row_number().over(order)), "groups")
+    most = groups.agg(F.max("at")).first()[0] or 0
+    out, low, step = found.limit(0), 0, leaders_a_round
+    while low < most - 1:
+        first = groups.filter((F.col("at") > low) & (F.col("at") <= low + step))
+        later = groups.filter(F.col("at") > low).select(*(F.col(c).alias(f"o_{c}") for c in groups.columns))
+        width = reach + F.col("r") + F.col("o_r") + slack
+        near = first.join(later, (F.col("key") == F.col("o_key")) & (F.col("at") < F.col("o_at")) & (F.col("label") != F.col("o_label")))
+        near = near.filter(possible(F.least("c", "o_c"), F.col("n"), F.col("o_n")))
+        near = near.filter(F.least("size", "o_size") >= (1 - width) * F.greatest("size", "o_size"))
+        near = stored(
+            near.select("key", F.least("pivot", "o_pivot").alias("fp"), F.greatest("pivot", "o_pivot").alias("leader"), width.alias("width")),
+            "near",
+        )
+        judged = stored(compared(near.select("fp", "leader").distinct(), known), "judged")
+        out = out.union(judged.filter(F.col("similarity") >= similarity))
+        # Pairs of members, where a pivot pair falls short but its members need not.
+        pair = F.struct("fp", "leader")
+        apart = judged.filter(F.col("similarity") < similarity).select(pair.alias("pair"), (1 - F.col("similarity")).alias("apart"))
+        close = lookup(near.withColumn("pair", pair), apart, "pair").filter(F.col("apart") <= F.col("width"))
+        close = stored(close.select("key", "fp", "leader", "apart"), "close")
+        mine = open_.select(F.struct("key", "pivot").alias("at"), F.col("fp").alias("a"), F.col("d").alias("da"), F.col("n").alias("na"), F.col("c").alias("ca"))
+        other = mine.select(F.col("at").alias("o_at"), *(F.col(c).alias(f"o_{c}") for c in ("a", "da", "na", "ca")))
+        members = close.join(mine, F.struct("key", "fp") == F.col("at")).join(other, F.struct("key", "leader") == F.col("o_at"))
+        members = members.filter((F.col("a") != F.col("fp")) | (F.col("o_a") != F.col("leader")))
+        members = members.filter(F.col("apart") <= reach + F.col("da") + F.col("o_da") + slack)
+        members = members.filter(possible(F.least("ca", "o_ca"), F.col("na"), F.col("o_na")))
+        pairs = members.select(F.col("a").alias("fp"), F.col("o_a").alias("leader")).distinct()
+        out = out.union(stored(compared(pairs, known).filter(F.col("similarity") >= similarity), "links"))
+        low, step = low + step, 2 * step
     return out
 
 

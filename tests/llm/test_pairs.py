@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from chartloom.llm import bagminhash, decontaminate, passages, revisits
+from chartloom.llm import bagminhash, decontaminate, graph, passages, revisits
 
 from tests.llm.conftest import words
 
@@ -273,3 +273,47 @@ def test_revisit_headers_merge_permitted_names(spark):
     ]
     (r,) = revisits.resolved(spark.createDataFrame(rows, RECORDS)).collect()
     assert r.state == "confirmed" and r.headers == {"etag": 'W/"v"', "content-type": "text/html", "cache-control": "new"}
+
+
+def bridged(seed, n):
+    """Two groups of n texts that only the link of two members of them joins."""
+    a = words(seed, 200)
+
+    def changed(text, k, tag):
+        return [f"{tag}{i}" if i in {10 + 23 * j for j in k} else w for i, w in enumerate(text)]
+
+    x, y, b = (changed(a, range(m), "b") for m in (3, 6, 8))
+    out = [" ".join(x), " ".join(y)]
+    for side, text in (("p", a), ("q", b)):
+        out += [" ".join(w if i != 1 + k % 7 else f"{side}{k}" for i, w in enumerate(text)) for k in range(n)]
+    return out
+
+
+def test_bagminhash_loses_no_link_between_texts_linked_elsewhere(make):
+    """The two that join the groups have leaders of their own in the buckets they share."""
+    texts = [t for k in range(8) for t in bridged(2000 + k, 15)]
+    want = brute_classes(texts)
+    assert len(set(want.values())) == 8
+    got = bagminhash.class_ids(make(texts), bands=4, rows=1, leaders_a_round=2).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+
+
+def test_keys_that_may_be_wanted(spark):
+    rows = spark.range(5000).select(graph.F.md5(graph.F.col("id").cast("string")).alias("k"), "id")
+    wanted = rows.filter("id % 7 = 0").select("k")
+    got = {r.id for r in graph.maybe_in(rows, wanted, "k").collect()}
+    assert set(range(0, 5000, 7)) <= got and len(got) < 800
+    assert graph.maybe_in(rows, wanted.limit(0), "k").count() == 0
+
+
+def test_passages_whose_seeds_all_start_in_other_texts(make):
+    """Two texts share 80 words; many have either half, too short a passage, and most seeds are first found there."""
+    texts = []
+    for k in range(4):
+        p = words(3000 + k, 80)
+        own = [words(3100 + 40 * k + i, 30) for i in range(26)]
+        texts += [" ".join(own[0] + p), " ".join(own[1] + p + own[25])]
+        texts += [" ".join(own[2 + i] + (p[:43] if i < 12 else p[37:])) for i in range(23)]
+    found = {tuple(sorted((r.doc_id, r.other_id))): r for r in passages.repeated(make(texts)).collect()}
+    assert set(found) == {(25 * k, 25 * k + 1) for k in range(4)}
+    assert all(r.end - r.start == r.same_words == 80 for r in found.values())
