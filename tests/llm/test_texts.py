@@ -253,3 +253,23 @@ def test_columns_with_the_names_of_results(make, ranks):
     back = byte_bpe.decode(byte_bpe.encode(named, ranks), ranks).collect()
     assert sorted(r.decoded for r in back) == sorted((t or "").encode() for t in ["one a@b.com two", None, "plain words here"])
     assert sorted(r.n_words for r in rules.measured(named).collect()) == [0, 3, 3]
+
+
+def test_personal_fit_takes_all_labelled_rows(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    class Trees:
+        def __init__(self, **options):
+            pass
+
+        def fit(self, rows):
+            raise Seen(rows.selectExpr("sum(weight)" if "weight" in rows.columns else "count(1)").first()[0])
+
+    monkeypatch.setattr(personal, "GBTClassifier", Trees)
+    labelled = spark.range(30_000).selectExpr(
+        "cast(id as string) AS origin", "'phone' AS kind", "cast(id as string) AS value", "'a ' AS before", "' b' AS after", "cast(id % 2 as int) AS label"
+    )
+    with pytest.raises(Seen) as seen:
+        personal.fit(labelled)
+    assert 22_000 < seen.value.args[0] < 23_000  # all but the quarter held out by value
