@@ -91,7 +91,8 @@ def html_tables(spark, sf_dir):
 def html_tables_sql(spark, sf_dir):
     """The same rows by the table function, joined laterally in SQL."""
     pages.register_page_rows(spark)
-    rows = spark.sql("SELECT page_id, url, r.* FROM {made}, LATERAL page_rows(html, 'chart') AS r", made=_chart_pages(spark, sf_dir))
+    made = pages.spread(_chart_pages(spark, sf_dir))
+    rows = spark.sql("SELECT page_id, url, r.* FROM {made}, LATERAL page_rows(html, 'chart') AS r", made=made)
     return pages.as_entries(rows)
 
 

@@ -20,19 +20,36 @@ from chartloom.functions.text import AWARD_WORDS, absolute_url, all_digits, has_
 from chartloom.operators.keyed import first_wins
 
 
+# Parsed rows that a task holds at a time, pages apart.
+_ROWS_AT_ONCE = 2000
+
+
 def _mapper(columns: list[str], rows_of):
+    names = ["page_id", "url", *columns]
+
     def run(batches):
         for pdf in batches:
-            out = [
-                (page, url, *row)
-                for page, url, source in zip(pdf["page_id"], pdf["url"], pdf["html"])
-                for row in rows_of(html.parse(source))
-            ]
-            yield pd.DataFrame(out, columns=["page_id", "url", *columns])
+            out = []
+            for page, url, source in zip(pdf["page_id"], pdf["url"], pdf["html"]):
+                out += [(page, url, *row) for row in rows_of(html.parse(source))]
+                if len(out) >= _ROWS_AT_ONCE:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            yield pd.DataFrame(out, columns=names)
 
     return run
 
 
+def spread(pages: DataFrame) -> DataFrame:
+    """pages dealt to as many tasks as a shuffle has.
+
+    Parsing takes far longer than reading: a file of few megabytes is read by few tasks
+    and would be parsed by them alone.
+    """
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.repartition(n, F.xxhash64("page_id", "url", "html"))
+
+
 # An attribute value with a character reference could spell a class in another way.
 _SPELT = r"(?i)class\s*=\s*[\"']?[^\"'>]*&"
 
@@ -71,7 +88,7 @@ def as_entries(rows: DataFrame) -> DataFrame:
 
 def chart_rows(pages: DataFrame) -> DataFrame:
     """One row per chart entry: name, artist, year, place, link."""
-    return as_entries(_extract(pages, *_cells("chart"), html.CHART_CLASSES))
+    return as_entries(_extract(spread(pages.select("page_id", "url", "html")), *_cells("chart"), html.CHART_CLASSES))
 
 
 def _cells(kind: str) -> tuple[str, object]:
@@ -102,7 +119,7 @@ class PageRows:
 
 def register_page_rows(spark: SparkSession) -> None:
     """Make page_rows known to SQL: SELECT ... FROM pages, LATERAL page_rows(html, 'chart')."""
-    spark.udtf.register("page_rows", udtf(PageRows))
+    spark.udtf.register("page_rows", udtf(PageRows, useArrow=True))
 
 
 def _all_links(root):

@@ -142,3 +142,18 @@ def test_page_rows_in_sql(spark):
     assert spark.sql("SELECT r.* FROM {made}, LATERAL page_rows(html, 'blocks') AS r", made=made).columns == ["layout", "block_no", "text"]
     with pytest.raises(Exception, match="kind of rows"):
         spark.sql("SELECT r.* FROM {made}, LATERAL page_rows(html, 'other') AS r", made=made).collect()
+
+
+def test_chart_pages_are_parsed_by_as_many_tasks_as_a_shuffle_has(spark):
+    """One partition of pages, as of a small file."""
+    one = frame(spark, "<p>x</p>").coalesce(1)
+    rows = pages.chart_rows(one)
+    assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
+    assert pages.spread(one).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_parsed_rows_of_a_batch_leave_in_parts():
+    pdf = pages.pd.DataFrame({"page_id": range(300), "url": "u", "html": "p"})
+    parts = list(pages._mapper(["n"], lambda root: ((i,) for i in range(100)))([pdf]))
+    assert sum(map(len, parts)) == 30_000 and max(map(len, parts)) <= pages._ROWS_AT_ONCE
+    assert set(zip(*(c.tolist() for c in (parts[0]["page_id"], parts[0]["n"])))) == {(p, n) for p in range(20) for n in range(100)}
