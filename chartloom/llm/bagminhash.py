@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import flat_lists, lists, mix, shingles, stored, whole_text, word_hashes
@@ -181,7 +181,7 @@ def banded(docs: DataFrame, text: str = "text", size: int = SHINGLE, bands: int
 
 
 def bags(docs: DataFrame, wanted: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(fp, items) of the wanted texts: all shingles sorted, as packed 64-bit integers."""
+    """(fp, items) of the wanted texts, and few others: all shingles sorted, as packed 64-bit integers."""
 
     def run(batches):
         for batch in batches:
@@ -192,7 +192,7 @@ def bags(docs: DataFrame, wanted: DataFrame, text: str = "text", size: int = SHI
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["fp", "items"])
 
     texts = docs.select(fingerprint(text).alias("fp"), whole_text(text).alias("t"))
-    chosen = maybe_in(texts, wanted, "fp").join(wanted, "fp", "left_semi").select("fp", word_hashes("t").alias("h"))
+    chosen = maybe_in(texts, wanted, "fp").select("fp", word_hashes("t").alias("h"))
     return chosen.mapInArrow(run, "fp binary, items binary").groupBy("fp").agg(F.first("items").alias("items"))
 
 
@@ -214,23 +214,57 @@ def compared(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return both.select("fp", "leader", "items", "others").mapInArrow(run, "fp binary, leader binary, similarity double")
 
 
-def unshared(known: DataFrame) -> DataFrame:
-    """(fp, n, u): shingles of each text, and how many of them no other text of `known` has."""
+def candidates(bags: DataFrame, similarity: float) -> DataFrame:
+    """(fp, leader): the pairs of texts of different labels that may be similar, by their rarest shingles.
+
+    `bags` has (fp, label, items).  Every text orders its shingles alike, those that fewer
+    texts have first.  Texts of n and m shingles that are similar share s / (1 + s) *
+    (n + m) of them, so that many must be left in both from the first one they share.
+    Such a meeting is looked for at the first shingles of each text only.  Texts of the
+    label that is most frequent at a shingle do not meet each other there.
+    """
+    slack = 1e-9
+    rows = bags.select(F.xxhash64("fp").alias("id"), "items")
 
     def run(batches):
         for batch in batches:
-            for fp, packed in zip(batch.column(0), batch.column(1)):
-                items, counts = np.unique(np.frombuffer(packed.as_py(), np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([fp.as_py()] * len(items), pa.binary()), pa.array(items), pa.array(counts.astype(np.int32))],
-                    ["fp", "item", "w"],
-                )
+            found = [np.unique(np.frombuffer(x.as_py(), np.int64), return_counts=True) for x in batch.column(1)]
+            ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x, _ in found])
+            items, w = (np.concatenate([x[k] for x in found] or [ids]) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(items), pa.array(w.astype(np.int32))], ["id", "item", "w"])
 
-    each = known.mapInArrow(run, "fp binary, item bigint, w int")
-    owned = each.groupBy("item").agg(F.count(F.lit(1)).alias("texts"), F.min("fp").alias("fp"), F.min("w").alias("w"))
-    u = owned.filter("texts = 1").groupBy("fp").agg(F.sum("w").alias("u"))
-    n = known.select("fp", (F.octet_length("items") / 8).cast("long").alias("n"))
-    return n.join(u, "fp", "left").select("fp", "n", F.coalesce("u", F.lit(0)).alias("u"))
+    each = rows.mapInArrow(run, "id bigint, item bigint, w int")
+    often = each.groupBy("item").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    shared = lookup(each, often, "item").groupBy("id").agg(F.collect_list(F.struct("texts", "item", "w")).alias("shared"))
+    owners = bags.select(F.xxhash64("fp").alias("id"), "fp", "label", (F.octet_length("items") / 8).cast("int").alias("n"))
+
+    def first(batches):
+        for batch in batches:
+            out = []
+            for i, (n, shared) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3))):
+                texts, item, w = (shared.values.field(k).to_numpy() for k in range(3))
+                order = np.lexsort((item, texts))
+                # Shingles that no other text has come before all others.
+                left = np.cumsum(w[order][::-1])[::-1]
+                keep = left >= similarity * n - slack
+                out.append((np.full(keep.sum(), i), item[order][keep], left[keep].astype(np.int32)))
+            row, item, left = (np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 3
+            own = [batch.column(k).take(pa.array(row, pa.int64())) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(item, pa.int64()), pa.array(left, pa.int32())], ["fp", "label", "n", "item", "left"])
+
+    placed = lookup(shared, owners, "id").select("fp", "label", "n", "shared")
+    placed = stored(placed.mapInArrow(first, "fp binary, label binary, n int, item bigint, left int"), "prefixes")
+    counted = placed.groupBy("item", "label").agg(F.count(F.lit(1)).alias("texts"))
+    most = counted.groupBy("item").agg(F.max(F.struct("texts", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
+    most = most.filter("labels > 1").select("item", F.col("most.label").alias("most"))
+    met = stored(lookup(placed, most, "item").withColumn("most", F.col("most") == F.col("label")), "prefixes")
+    other = met.select(*(F.col(c).alias(f"o_{c}") for c in met.columns))
+    may = (
+        (F.col("item") == F.col("o_item")) & (F.col("o_most") | (F.col("fp") < F.col("o_fp"))) & (F.col("label") != F.col("o_label"))
+        & (F.least("left", "o_left") >= similarity / (1 + similarity) * (F.col("n") + F.col("o_n")) - slack)
+    )
+    pairs = met.filter("NOT most").join(other, may)
+    return pairs.select(F.least("fp", "o_fp").alias("fp"), F.greatest("fp", "o_fp").alias("leader")).distinct()
 
 
 def links(
@@ -248,12 +282,14 @@ def links(
     it.  A text gathers the leaders of its buckets, so a pair that many buckets give
     comes once.  Then two texts of a bucket are compared unless they are in one class
     already or cannot be similar; see between.  So similar texts that share a bucket are
-    in one component, whoever led it.
+    in one component, whoever led it.  `leaders_a_round` is accepted and has no effect:
+    one round is all.
     """
     signed = stored(banded(docs, text, size, bands, rows), "bands")
     placed = signed.select("fp", "n", F.explode("keys").alias("key"))
     shared = stored(placed.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"), "buckets")
-    met = lookup(placed, shared, "key").groupBy("fp", "n").agg(F.collect_list("key").alias("keys"), (-F.sum("texts")).alias("rank"))
+    met = lookup(maybe_in(placed, shared, "key"), shared, "key")
+    met = met.groupBy("fp", "n").agg(F.collect_list("key").alias("keys"), (-F.sum("texts")).alias("rank"))
     texts = stored(met, "texts")
     known = stored(bags(docs, texts.select("fp"), text, size), "bags")
     placed = texts.select("fp", "n", "rank", F.explode("keys").alias("key"))
@@ -261,83 +297,21 @@ def links(
     shorter, longer = F.least("n", "m"), F.greatest("n", "m")
     pairs = lookup(placed, led, "key").filter((F.col("fp") != F.col("leader")) & (shorter >= similarity * longer)).select("fp", "leader")
     found = stored(compared(pairs.distinct(), known).filter(F.col("similarity") >= similarity), "links")
-    return found.union(between(texts, led.select("key", "leader"), found, known, similarity, leaders_a_round))
+    return found.union(between(texts, led.select("key", "leader"), found, known, similarity))
 
 
-def between(
-    texts: DataFrame, led: DataFrame, found: DataFrame, known: DataFrame, similarity: float, leaders_a_round: int
-) -> DataFrame:
-    """(fp, leader, similarity) of similar texts that share a bucket which neither led, and whose classes differ.
-
-    A text hangs on a pivot, the first by rank of itself and the texts linked to it, at a
-    known distance (one less the similarity, a metric).  Members of two pivots are
-    compared only if the distance of the pivots allows for theirs and the pivots are not
-    linked themselves.  Pairs that cannot be similar are left out before they are made:
-    both texts have at least the shingles that the shorter lacks, and those that no other
-    text has.  The first pivots of a bucket meet all later ones, then the next, twice as
-    many each round, so that pairs on disk stay few.
-    """
-    reach, slack = 1 - similarity, 1e-9
+def between(texts: DataFrame, led: DataFrame, found: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """(fp, leader, similarity) of similar texts whose classes differ, of buckets where such texts meet that did not lead them."""
     labels = components(found, "fp", "leader").select(F.col("node").alias("fp"), "label")
-    ranks = texts.select(F.col("fp").alias("pivot"), "rank")
-    both = found.select("fp", F.col("leader").alias("pivot"), "similarity").union(
-        found.select(F.col("leader"), F.col("fp"), "similarity")
-    )
-    each = lookup(both, ranks, "pivot").union(texts.select("fp", F.col("fp").alias("pivot"), F.lit(1.0), "rank"))
-    hung = each.groupBy("fp").agg(F.min(F.struct("rank", "pivot", (1 - F.col("similarity")).alias("d"))).alias("w"))
-    placed = texts.select("fp", "n", F.explode("keys").alias("key"))
+    placed = texts.select("fp", F.explode("keys").alias("key"))
     # A leader has met all of its bucket.
     rest = lookup(placed, led, "key").filter("fp <> leader").drop("leader")
-    rest = lookup(rest, labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    rest = stored(rest, "rest")
-
-    def mixed(members: DataFrame) -> DataFrame:
-        more = members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("key")
-        return lookup(members, more, "key")
-
-    open_ = stored(mixed(rest), "mixed")
-    bound = unshared(known.join(open_.select("fp").distinct(), "fp", "left_semi"))
-    bound = stored(bound.filter(F.col("u") <= reach * F.col("n") + slack).select("fp", (F.col("n") - F.col("u")).alias("c")), "unshared")
-    hung = hung.select("fp", F.col("w.pivot").alias("pivot"), F.col("w.d").alias("d"))
-    open_ = stored(lookup(lookup(mixed(lookup(open_, bound, "fp")), hung, "fp"), texts.select(F.col("fp").alias("pivot"), F.col("n").alias("size")), "pivot"), "open")
-
-    def possible(c, n, m) -> F.Column:
-        """Whether `c` common shingles suffice for texts of n and m, or more, of them."""
-        return c >= similarity * (n + m - c) - slack
-
-    groups = open_.groupBy("key", "label", "pivot", "size").agg(F.max("d").alias("r"), F.max("c").alias("c"), F.min("n").alias("n"))
-    order = Window.partitionBy("key").orderBy("size", "pivot")
-    groups = stored(groups.withColumn("at", F.row_number().over(order)), "groups")
-    most = groups.agg(F.max("at")).first()[0] or 0
-    out, low, step = found.limit(0), 0, leaders_a_round
-    while low < most - 1:
-        first = groups.filter((F.col("at") > low) & (F.col("at") <= low + step))
-        later = groups.filter(F.col("at") > low).select(*(F.col(c).alias(f"o_{c}") for c in groups.columns))
-        width = reach + F.col("r") + F.col("o_r") + slack
-        near = first.join(later, (F.col("key") == F.col("o_key")) & (F.col("at") < F.col("o_at")) & (F.col("label") != F.col("o_label")))
-        near = near.filter(possible(F.least("c", "o_c"), F.col("n"), F.col("o_n")))
-        near = near.filter(F.least("size", "o_size") >= (1 - width) * F.greatest("size", "o_size"))
-        near = stored(
-            near.select("key", F.least("pivot", "o_pivot").alias("fp"), F.greatest("pivot", "o_pivot").alias("leader"), width.alias("width")),
-            "near",
-        )
-        judged = stored(compared(near.select("fp", "leader").distinct(), known), "judged")
-        out = out.union(judged.filter(F.col("similarity") >= similarity))
-        # Pairs of members, where a pivot pair falls short but its members need not.
-        pair = F.struct("fp", "leader")
-        apart = judged.filter(F.col("similarity") < similarity).select(pair.alias("pair"), (1 - F.col("similarity")).alias("apart"))
-        close = lookup(near.withColumn("pair", pair), apart, "pair").filter(F.col("apart") <= F.col("width"))
-        close = stored(close.select("key", "fp", "leader", "apart"), "close")
-        mine = open_.select(F.struct("key", "pivot").alias("at"), F.col("fp").alias("a"), F.col("d").alias("da"), F.col("n").alias("na"), F.col("c").alias("ca"))
-        other = mine.select(F.col("at").alias("o_at"), *(F.col(c).alias(f"o_{c}") for c in ("a", "da", "na", "ca")))
-        members = close.join(mine, F.struct("key", "fp") == F.col("at")).join(other, F.struct("key", "leader") == F.col("o_at"))
-        members = members.filter((F.col("a") != F.col("fp")) | (F.col("o_a") != F.col("leader")))
-        members = members.filter(F.col("apart") <= reach + F.col("da") + F.col("o_da") + slack)
-        members = members.filter(possible(F.least("ca", "o_ca"), F.col("na"), F.col("o_na")))
-        pairs = members.select(F.col("a").alias("fp"), F.col("o_a").alias("leader")).distinct()
-        out = out.union(stored(compared(pairs, known).filter(F.col("similarity") >= similarity), "links"))
-        low, step = low + step, 2 * step
-    return out
+    rest = stored(lookup(rest, labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "rest")
+    mixed = rest.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("key")
+    open_ = stored(lookup(rest, mixed, "key").select("fp", "label").distinct(), "mixed")
+    own = stored(lookup(maybe_in(known, open_, "fp"), open_, "fp"), "open")
+    pairs = stored(candidates(own, similarity), "pairs")
+    return stored(compared(pairs, own.select("fp", "items")).filter(F.col("similarity") >= similarity), "links")
 
 
 def classes(docs: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -317,3 +317,40 @@ def test_passages_whose_seeds_all_start_in_other_texts(make):
     found = {tuple(sorted((r.doc_id, r.other_id))): r for r in passages.repeated(make(texts)).collect()}
     assert set(found) == {(25 * k, 25 * k + 1) for k in range(4)}
     assert all(r.end - r.start == r.same_words == 80 for r in found.values())
+
+
+def test_bagminhash_compares_few_pairs_of_a_large_group(make, monkeypatch):
+    """Copies that share buckets but are not similar are told apart by their rare shingles."""
+    base, rng = words(77, 150), random.Random(5)
+    texts = [" ".join(f"odd{rng.randint(0, 2)}" if rng.random() < 0.035 else w for w in base) for _ in range(300)]
+    compared, met = bagminhash.compared, []
+
+    def counted(pairs, known):
+        met.append(pairs.count())
+        return compared(pairs, known)
+
+    monkeypatch.setattr(bagminhash, "compared", counted)
+    got = {r.doc_id: r.class_id for r in bagminhash.class_ids(make(texts)).collect()}
+    want = brute_classes(texts)
+    assert got == want and len(set(want.values())) > 50
+    assert sum(met) < 20 * len(texts)
+
+
+def test_bagminhash_candidates_hold_all_similar_pairs(spark):
+    """Multisets of many sizes around the similarity, some in one label."""
+    rng = np.random.default_rng(8)
+    bags = []
+    for base in (np.arange(40), np.repeat(np.arange(100, 130), 2), np.arange(20, 65)):
+        for _ in range(30):
+            gone = rng.random(len(base)) < rng.choice([0.02, 0.08, 0.15])
+            bags.append(np.sort(np.r_[base[~gone], rng.integers(500, 540, rng.integers(0, 6))]))
+    bags += [np.array([1]), np.array([1, 1]), np.array([7])]
+    rows = [(bytes([i]), bytes([i % 3 if i < 30 else i]), b.astype(np.int64).tobytes()) for i, b in enumerate(bags)]
+    df = spark.createDataFrame(rows, "fp binary, label binary, items binary").repartition(3)
+    got = {(r.fp[0], r.leader[0]) for r in bagminhash.candidates(df, 0.8).collect()}
+    similar = {
+        (i, j)
+        for i, j in itertools.combinations(range(len(bags)), 2)
+        if rows[i][1] != rows[j][1] and bagminhash.weighted_jaccard(bags[i].astype(np.uint64), bags[j].astype(np.uint64)) >= 0.8
+    }
+    assert len(similar) > 50 and similar <= got
