@@ -32,6 +32,8 @@ from chartloom.llm.graph import bounded, components, lookup, maybe_in
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
+# Texts whose points are drawn together; more of them take more memory.
+DRAWN = 128
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -167,7 +169,7 @@ def banded(docs: DataFrame, text: str = "text", size: int = SHINGLE, bands: int
     """(fp, keys, n): the band keys of each distinct text that has words, and its number of shingles."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, DRAWN) for b in batches for at in range(0, b.num_rows, DRAWN)):
             values, bounds = flat_lists(batch.column(1))
             items, weights, doc = bag(values, bounds, size)
             keys = band_keys(signatures(items, weights, doc, batch.num_rows, bands * rows), bands, rows)
