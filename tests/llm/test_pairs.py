@@ -319,6 +319,27 @@ def test_passages_whose_seeds_all_start_in_other_texts(make):
     assert all(r.end - r.start == r.same_words == 80 for r in found.values())
 
 
+def test_passages_compare_few_pairs_of_texts_with_a_common_line(make, monkeypatch):
+    """Texts with a line in common meet only if they go on alike beside it, by other seeds or not."""
+    line, tail = words(4000, 24), words(4001, 36)
+    texts = [words(4100 + i, 40) + line + words(4400 + i, 40) for i in range(150)]
+    texts[70][64:] = tail
+    texts[120][64:] = [w if i % 5 else f"odd{i}" for i, w in enumerate(tail, 1)]
+    texts[30][4:40] = [w if i % 5 else f"even{i}" for i, w in enumerate(tail)]
+    texts[140][4:40] = tail
+    chained_pairs, met = passages.chained_pairs, []
+
+    def counted(pairs, *rest):
+        met.append(pairs.count())
+        return chained_pairs(pairs, *rest)
+
+    monkeypatch.setattr(passages, "chained_pairs", counted)
+    found = passages.repeated(make([" ".join(t) for t in texts])).collect()
+    assert {tuple(sorted((r.doc_id, r.other_id))) for r in found} == {(70, 120), (30, 140)}
+    assert all(r.end - r.start >= 50 for r in found)
+    assert sum(met) < 4000  # of 11,175 pairs
+
+
 def test_bagminhash_compares_few_pairs_of_a_large_group(make, monkeypatch):
     """Copies that share buckets but are not similar are told apart by their rare shingles."""
     base, rng = words(77, 150), random.Random(5)
