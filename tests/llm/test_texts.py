@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from chartloom.llm import byte_bpe, personal, rules, secrets
+from chartloom.llm import byte_bpe, graph, personal, rules, secrets
 from chartloom.llm.q_text import rank_file
 
 PATTERNS = {
@@ -273,3 +273,13 @@ def test_personal_fit_takes_all_labelled_rows(spark, monkeypatch):
     with pytest.raises(Seen) as seen:
         personal.fit(labelled)
     assert 22_000 < seen.value.args[0] < 23_000  # all but the quarter held out by value
+
+
+def test_spans_and_secrets_too_many_to_broadcast(make, monkeypatch):
+    """The joins that take the place of a broadcast keep all rows."""
+    monkeypatch.setattr(graph, "BROADCAST_ROWS", -1)
+    docs = make(["one a@b.com two", None, None, "", "plain words", f"aws {SECRET} leaked here"])
+    rows = personal.digests(personal.detect(docs)).collect()
+    assert sorted((r.doc_id, r.spans) for r in rows) == [(0, "email:4:11"), *((i, "") for i in range(1, 6))]
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, path="source").collect()}
+    assert len(clean) == 6 and clean[1] is None and clean[4] == "plain words" and SECRET not in clean[5]
