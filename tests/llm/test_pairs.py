@@ -340,6 +340,22 @@ def test_passages_compare_few_pairs_of_texts_with_a_common_line(make, monkeypatc
     assert sum(met) < 4000  # of 11,175 pairs
 
 
+def test_passages_compare_a_pair_of_texts_once(make, monkeypatch):
+    line = words(4000, 24)
+    texts = [words(4100 + i, 40) + line + words(4400 + i, 40) for i in range(20)]
+    texts[5][64:] = texts[12][64:]
+    chained_pairs, met = passages.chained_pairs, []
+
+    def counted(pairs, *rest):
+        met.extend(map(tuple, pairs.collect()))
+        return chained_pairs(pairs, *rest)
+
+    monkeypatch.setattr(passages, "chained_pairs", counted)
+    found = passages.repeated(make([" ".join(t) for t in texts])).collect()
+    assert {tuple(sorted((r.doc_id, r.other_id))) for r in found} == {(5, 12)}
+    assert met and len(met) == len(set(met))
+
+
 def test_bagminhash_compares_few_pairs_of_a_large_group(make, monkeypatch):
     """Copies that share buckets but are not similar are told apart by their rare shingles."""
     base, rng = words(77, 150), random.Random(5)
